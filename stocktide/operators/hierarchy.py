@@ -73,17 +73,23 @@ def series_level(rows: DataFrame, measures: Sequence[str], by: Sequence[str]) ->
 
 
 def level_sums(
-    rows: DataFrame, measures: Mapping[str, Column], by: Sequence[str] = ("date",)
+    rows: DataFrame,
+    measures: Mapping[str, Column],
+    by: Sequence[str] = ("date",),
+    bottom_only: bool = False,
 ) -> DataFrame:
-    """Sums of the measures per level, series and `by` columns, for all twelve levels."""
+    """Sums of the measures per level, series and `by` columns, for all twelve levels.
+
+    `bottom_only` gives the item and store level alone.
+    """
     rows = rows.select("item_id", *UPPER_KEYS, *by, *[c.alias(n) for n, c in measures.items()])
     names = list(measures)
-    parts = [build(rows, names, by) for build in (upper_levels, item_levels, series_level)]
-    return reduce(DataFrame.unionByName, parts)
+    builders = (series_level,) if bottom_only else (upper_levels, item_levels, series_level)
+    return reduce(DataFrame.unionByName, [build(rows, names, by) for build in builders])
 
 
 def level_scales(
-    train: DataFrame, value: str = "sales", by: Sequence[str] = ()
+    train: DataFrame, value: str = "sales", by: Sequence[str] = (), bottom_only: bool = False
 ) -> DataFrame:
     """Mean squared day-over-day change of each series after its first sale.
 
@@ -91,7 +97,8 @@ def level_scales(
     shrink the scale. The level `total` counts every change. `by` carries further keys, such as a
     fold number.
     """
-    daily = level_sums(train, {"x": F.col(value).cast("double")}, [*by, "date"])
+    units = {"x": F.col(value).cast("double")}
+    daily = level_sums(train, units, [*by, "date"], bottom_only)
     w = Window.partitionBy("level", "series_id", *by).orderBy("date")
     before = F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, -1))
     change = F.col("x") - F.lag("x").over(w)
@@ -105,24 +112,29 @@ def level_errors(
     actual: str = "sales",
     prediction: str = "prediction",
     by: Sequence[str] = (),
+    bottom_only: bool = False,
 ) -> DataFrame:
     """Mean squared error of daily sums per level and series."""
     daily = level_sums(
         valid,
         {"a": F.col(actual).cast("double"), "p": F.col(prediction).cast("double")},
         [*by, "date"],
+        bottom_only,
     )
     error = F.col("a") - F.col("p")
     return daily.groupBy("level", "series_id", *by).agg(F.avg(error * error).alias("mse"))
 
 
 def level_weights(
-    train: DataFrame, horizon: int = HORIZON, by: Sequence[str] = ()
+    train: DataFrame,
+    horizon: int = HORIZON,
+    by: Sequence[str] = (),
+    bottom_only: bool = False,
 ) -> DataFrame:
     """Revenue per level and series over the last `horizon` days of the training rows."""
     recent = last_days(train, horizon, by)
     dollars = F.col("sales").cast("double") * F.col("sell_price").cast("double")
-    return level_sums(recent, {"dollar_sales": dollars}, by)
+    return level_sums(recent, {"dollar_sales": dollars}, by, bottom_only)
 
 
 def last_days(rows: DataFrame, days: int, by: Sequence[str] = ()) -> DataFrame:
