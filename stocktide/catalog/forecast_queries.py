@@ -25,17 +25,12 @@ EVENT_FOLDS = 5
 
 
 def history(spark, folder):
-    """Priced rows of the training years."""
+    """Priced rows of the training years, stored once because scoring reads them many times."""
     rows = features.priced_rows(star.sales_panel(spark, folder))
-    return in_years(rows, FIRST_YEAR, LAST_YEAR)
+    return cut_lineage(in_years(rows, FIRST_YEAR, LAST_YEAR))
 
 
-def holdout(spark, folder):
-    return validation.holdout(history(spark, folder))
-
-
-def fold_frames(spark, folder, n_folds=3):
-    rows = history(spark, folder)
+def fold_frames(rows, n_folds=3):
     folds = validation.folds_of(rows, n_folds)
     return (
         validation.all_folds(rows, folds, validation.train_part),
@@ -43,17 +38,21 @@ def fold_frames(spark, folder, n_folds=3):
     )
 
 
+def split(spark, folder):
+    return validation.holdout(history(spark, folder))
+
+
 def seasonal(spark, folder):
-    return baselines.seasonal_forecast(*holdout(spark, folder))
+    return baselines.seasonal_forecast(*split(spark, folder))
 
 
 def naive(spark, folder):
-    return baselines.naive_forecast(*holdout(spark, folder))
+    return baselines.naive_forecast(*split(spark, folder))
 
 
-def metrics(spark, folder, forecast=seasonal):
-    train, _ = holdout(spark, folder)
-    return scoring.series_metrics(train, forecast(spark, folder))
+def metrics(spark, folder, forecast=baselines.seasonal_forecast):
+    train, valid = split(spark, folder)
+    return scoring.series_metrics(train, forecast(train, valid))
 
 
 def errors_of(spark, folder):
@@ -61,28 +60,47 @@ def errors_of(spark, folder):
 
 
 def fold_errors(spark, folder, n_folds=EVENT_FOLDS):
-    train, valid = fold_frames(spark, folder, n_folds)
+    train, valid = fold_frames(history(spark, folder), n_folds)
     return scoring.with_errors(baselines.seasonal_forecast(train, valid, BY_FOLD))
 
 
+def profile_and_errors(spark, folder, squared=False):
+    """Series profile and forecast errors.
+
+    The profile is stored: it is one row per series and every slice reads it again.
+    """
+    train, valid = split(spark, folder)
+    forecast = baselines.seasonal_forecast(train, valid)
+    stored = cut_lineage(errors.series_profile(train, forecast, squared))
+    return stored, scoring.with_errors(forecast)
+
+
 def profile(spark, folder, squared=False):
-    """Series profile, stored once: it is one row per series and every slice reads it again."""
-    train, _ = holdout(spark, folder)
-    return cut_lineage(errors.series_profile(train, seasonal(spark, folder), squared))
+    return profile_and_errors(spark, folder, squared)[0]
 
 
-def fold_scores(spark, folder, forecast, n_folds=3):
-    train, valid = fold_frames(spark, folder, n_folds)
+def fold_scores(rows, forecast, n_folds=3):
+    train, valid = fold_frames(rows, n_folds)
     return scoring.score(train, forecast(train, valid, BY_FOLD), by=BY_FOLD)
 
 
 def both_scores(spark, folder):
-    """Fold scores of the two baselines in long form."""
-    base = fold_scores(spark, folder, baselines.naive_forecast)
-    other = fold_scores(spark, folder, baselines.seasonal_forecast)
-    return base.withColumn("model", F.lit(reports.BASELINE)).unionByName(
-        other.withColumn("model", F.lit("seasonal"))
-    )
+    """Fold scores of the two baselines in long form; a handful of rows, stored once."""
+    rows = history(spark, folder)
+    train, valid = fold_frames(rows)
+    scales = cut_lineage(hierarchy.level_scales(train, by=BY_FOLD))
+    weights = cut_lineage(hierarchy.level_weights(train, by=BY_FOLD))
+    parts = []
+    for model, forecast in (
+        (reports.BASELINE, baselines.naive_forecast),
+        ("seasonal", baselines.seasonal_forecast),
+    ):
+        found = scoring.series_metrics(
+            train, forecast(train, valid, BY_FOLD), scales=scales, weights=weights, by=BY_FOLD
+        )
+        score = scoring.wrmsse(scoring.weighted_levels(found, by=BY_FOLD), BY_FOLD)
+        parts.append(score.withColumn("model", F.lit(model)))
+    return cut_lineage(parts[0].unionByName(parts[1]))
 
 
 def _folds(spark, folder):
@@ -91,7 +109,7 @@ def _folds(spark, folder):
 
 
 def _fold_rows(spark, folder):
-    train, valid = fold_frames(spark, folder)
+    train, valid = fold_frames(history(spark, folder))
     return (
         train.groupBy("fold")
         .agg(F.count("*").alias("train_rows"))
@@ -107,7 +125,7 @@ def _fold_rows(spark, folder):
 
 
 def _holdout_rows(spark, folder):
-    train, test = holdout(spark, folder)
+    train, test = split(spark, folder)
     facts = reports.window_facts(train, "train")
     other = reports.window_facts(test, "test")
     return facts.withColumns({c: other.select(c).scalar() for c in other.columns})
@@ -126,8 +144,13 @@ def _load_window(spark, folder):
 
 def _ensemble(spark, folder):
     keys = ["item_id", "store_id", "date"]
-    one = seasonal(spark, folder).select(*keys, "sales", F.col("prediction").alias("pred_seasonal"))
-    two = naive(spark, folder).select(*keys, F.col("prediction").alias("pred_naive"))
+    train, valid = split(spark, folder)
+    one = baselines.seasonal_forecast(train, valid).select(
+        *keys, "sales", F.col("prediction").alias("pred_seasonal")
+    )
+    two = baselines.naive_forecast(train, valid).select(
+        *keys, F.col("prediction").alias("pred_naive")
+    )
     both = join_checked(one, two, keys, "inner", "one_to_one", keep_rows=True)
     return both.withColumn("prediction", (F.col("pred_seasonal") + F.col("pred_naive")) / 2)
 
@@ -135,9 +158,9 @@ def _ensemble(spark, folder):
 def _context(spark, folder):
     keys = ["item_id", "store_id", "date", "prediction"]
     columns = ["event_name_1", "event_type_1", "snap", "sell_price"]
-    return errors.attach_context(
-        seasonal(spark, folder).select(*keys), history(spark, folder), columns
-    )
+    rows = history(spark, folder)
+    forecast = baselines.seasonal_forecast(*validation.holdout(rows))
+    return errors.attach_context(forecast.select(*keys), rows, columns)
 
 
 def on_errors(build, *args, source=errors_of, **kwargs):
@@ -159,6 +182,14 @@ def _extreme(by, worst):
     return query
 
 
+def _frequency(by_status):
+    def query(spark, folder):
+        found, forecast_errors = profile_and_errors(spark, folder)
+        return errors.frequency_errors(forecast_errors, found, by_status)
+
+    return query
+
+
 def queries():
     day_name = C.day_name().alias("day_name")
     weekend = C.weekend_flag().alias("is_weekend")
@@ -174,10 +205,10 @@ def queries():
         "seasonal_forecast": lambda s, f: seasonal(s, f).select(
             "item_id", "store_id", "date", "sales", "prediction"
         ),
-        "scales": lambda s, f: hierarchy.level_scales(holdout(s, f)[0]),
+        "scales": lambda s, f: hierarchy.level_scales(split(s, f)[0]),
         "mse": lambda s, f: hierarchy.level_errors(seasonal(s, f)),
         "weights": lambda s, f: rounded(
-            hierarchy.level_weights(holdout(s, f)[0]), "dollar_sales", digits=2
+            hierarchy.level_weights(split(s, f)[0]), "dollar_sales", digits=2
         ),
         "wrmsse_levels": lambda s, f: rounded(
             scoring.weighted_levels(metrics(s, f)), "wrmsse_level"
@@ -186,16 +217,16 @@ def queries():
             scoring.wrmsse(scoring.weighted_levels(metrics(s, f))), "wrmsse"
         ),
         "wrmsse_naive": lambda s, f: rounded(
-            scoring.wrmsse(scoring.weighted_levels(metrics(s, f, naive))), "wrmsse"
+            scoring.wrmsse(scoring.weighted_levels(metrics(s, f, baselines.naive_forecast))), "wrmsse"
         ),
         "wrmsse_keep_zero_scale": lambda s, f: rounded(
             scoring.wrmsse(scoring.weighted_levels(metrics(s, f), "keep")), "wrmsse"
         ),
         "wrmsse_folds_naive": lambda s, f: rounded(
-            fold_scores(s, f, baselines.naive_forecast), "wrmsse"
+            fold_scores(history(s, f), baselines.naive_forecast), "wrmsse"
         ),
         "wrmsse_folds_seasonal": lambda s, f: rounded(
-            fold_scores(s, f, baselines.seasonal_forecast), "wrmsse"
+            fold_scores(history(s, f), baselines.seasonal_forecast), "wrmsse"
         ),
         "zero_scale_audit": lambda s, f: rounded(
             rounded(scoring.zero_scale_audit(metrics(s, f)), "dollar_sales", digits=2), "weight"
@@ -205,7 +236,7 @@ def queries():
             "fold_1", "fold_2", "fold_3", "mean_wrmsse", "mean_delta",
         ),
         "fold_summary": lambda s, f: rounded(
-            reports.fold_summary(fold_scores(s, f, baselines.seasonal_forecast)),
+            reports.fold_summary(fold_scores(history(s, f), baselines.seasonal_forecast)),
             "wrmsse_mean", "wrmsse_std", "wrmsse_worst_fold",
         ),
         "ensemble_baselines": _ensemble,
@@ -222,10 +253,8 @@ def queries():
         "err_cat_date": on_errors(errors.error_by, ["cat_id", "date", day_name]),
         "err_weekday": on_errors(errors.error_and_level_by, [day_name]),
         "err_weekend": on_errors(errors.error_and_level_by, [weekend]),
-        "err_frequency": lambda s, f: errors.frequency_errors(errors_of(s, f), profile(s, f)),
-        "err_frequency_status": lambda s, f: errors.frequency_errors(
-            errors_of(s, f), profile(s, f), by_status=True
-        ),
+        "err_frequency": _frequency(False),
+        "err_frequency_status": _frequency(True),
         "err_event": on_errors(errors.event_errors, source=fold_errors),
         "err_event_ratio": on_errors(errors.event_ratio, source=fold_errors),
         "err_event_cat": on_errors(errors.event_errors, ["cat_id"], source=fold_errors),
@@ -243,9 +272,9 @@ def queries():
             digits=8,
         ),
         "volume_decile": lambda s, f: errors.volume_deciles(
-            errors.recent_volume(holdout(s, f)[0])
+            errors.recent_volume(split(s, f)[0])
         ),
-        "sale_frequency": lambda s, f: errors.sale_frequency(holdout(s, f)[0]),
+        "sale_frequency": lambda s, f: errors.sale_frequency(split(s, f)[0]),
         "price_band": lambda s, f: rounded(errors.price_bands(seasonal(s, f)), "mean_price"),
         "err_unweighted_slice": on_profile(errors.unweighted_slices, round_to=slice_means),
         "err_slice": on_profile(errors.slice_errors, round_to=slice_means),
@@ -273,12 +302,12 @@ def queries():
         "err_worst_rmsse": _extreme("rmsse", True),
         "err_best_rmsse": _extreme("rmsse", False),
         "err_kind_slice": lambda s, f: rounded(
-            errors.error_kind_by_slice(profile(s, f), seasonal(s, f)),
+            errors.error_kind_by_slice(*profile_and_errors(s, f)),
             "mean_bias", "mean_mae", "median_mae", "mean_error_std", "mean_pct_actual_zero",
             "mean_pct_underforecast", "mean_pct_overforecast",
         ),
         "recent_peaks": lambda s, f: errors.recent_peaks(
-            holdout(s, f)[0].select("item_id", "store_id", "date", "sales"), *ONE_SERIES, 5
+            split(s, f)[0].select("item_id", "store_id", "date", "sales"), *ONE_SERIES, 5
         ),
     }
 

@@ -82,17 +82,11 @@ def exact_quantiles(
         F.min(F.col("_upto") - F.col("_rows")).alias("_start"), F.sum("_rows").alias("_n")
     )
     if keys:
-        same = [ranked[k].eqNullSafe(starts[k]) for k in keys]
-        located = ranked.join(starts, same).select(
-            *[ranked[k] for k in keys], ranked[value], "_upto", "_rows", "_start", "_n"
-        )
+        renamed = starts.withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        located = ranked.join(renamed, same)
     else:
-        located = ranked.withColumns(
-            {
-                "_start": F.lit(0),
-                "_n": starts.select("_n").scalar(),
-            }
-        )
+        located = ranked.withColumns({"_start": F.lit(0), "_n": starts.select("_n").scalar()})
     last = F.col("_upto") - F.col("_start")
     first = last - F.col("_rows")
 

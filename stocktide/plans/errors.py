@@ -105,9 +105,9 @@ def _by_dimension(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    same = [left[k].eqNullSafe(right[k]) for k in keys]
-    extra = [right[c] for c in right.columns if c not in keys]
-    return left.join(right, same).select(*[left[c] for c in left.columns], *extra)
+    renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(renamed, same).drop(*[f"_{k}" for k in keys])
 
 
 def _with_total(df: DataFrame, of: str, name: str, keys: Sequence[str]) -> DataFrame:

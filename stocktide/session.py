@@ -1,8 +1,10 @@
-"""Session helpers: a builder for local work and the shared checkpoint folder."""
+"""Session helpers: a builder for local work and intermediate tables in shared storage."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,29 +32,35 @@ def build_session(
     return builder.getOrCreate()
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting it on the context if it is not set yet.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables, reachable from every executor.
 
-    The folder comes from `spark.checkpoint.dir`, which must be shared storage on a cluster.
-    Only a local master, where one machine holds everything, gets a temporary folder.
+    It is the one named in `spark.checkpoint.dir`. Only a local master, where one machine holds
+    everything, gets a temporary folder when nothing is set.
     """
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="stocktide-checkpoint-")
-    context.setCheckpointDir(configured)
-    return configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store `df` reliably and return it with a plan that starts at the stored rows."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if "folder" not in _LOCAL:
+        _LOCAL["folder"] = tempfile.mkdtemp(prefix="stocktide-")
+    return _LOCAL["folder"]
+
+
+_LOCAL: dict[str, str] = {}
+
+
+def cut_lineage(df: DataFrame, sort: Sequence[str] = ()) -> DataFrame:
+    """Write `df` to the shared folder and return a scan of the written table.
+
+    A lost executor then costs a re-read, not the whole job, and every later pass reads only the
+    columns it needs. `sort` orders the rows of each file.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    rows = df.sortWithinPartitions(*sort) if sort else df
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
