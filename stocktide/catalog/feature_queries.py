@@ -79,7 +79,7 @@ def _with_gold(**kwargs):
 
 
 def launched_rows(spark, folder):
-    return series.with_launch(star.sales_panel(spark, folder)).where(eda.LAUNCHED)
+    return series.with_launch(star.sales_panel(spark, folder)).where(eda.launched())
 
 
 def queries():

@@ -191,8 +191,6 @@ def _frequency(by_status):
 
 
 def queries():
-    day_name = C.day_name().alias("day_name")
-    weekend = C.weekend_flag().alias("is_weekend")
     slice_means = ("mean_rmsse", "median_rmsse")
     return {
         "folds": _folds,
@@ -250,9 +248,15 @@ def queries():
         "err_horizon_folds": on_errors(errors.horizon_errors, BY_FOLD, source=fold_errors),
         "err_horizon_status": on_errors(errors.horizon_status_errors),
         "err_date": on_errors(errors.error_by, ["date"]),
-        "err_cat_date": on_errors(errors.error_by, ["cat_id", "date", day_name]),
-        "err_weekday": on_errors(errors.error_and_level_by, [day_name]),
-        "err_weekend": on_errors(errors.error_and_level_by, [weekend]),
+        "err_cat_date": lambda s, f: errors.error_by(
+            errors_of(s, f), ["cat_id", "date", C.day_name().alias("day_name")]
+        ),
+        "err_weekday": lambda s, f: errors.error_and_level_by(
+            errors_of(s, f), [C.day_name().alias("day_name")]
+        ),
+        "err_weekend": lambda s, f: errors.error_and_level_by(
+            errors_of(s, f), [C.weekend_flag().alias("is_weekend")]
+        ),
         "err_frequency": _frequency(False),
         "err_frequency_status": _frequency(True),
         "err_event": on_errors(errors.event_errors, source=fold_errors),

@@ -38,7 +38,6 @@ def series_ids(spark, folder) -> DataFrame:
 def queries():
     zero, total, profile = eda.zero_share, eda.totals, eda.post_launch_profile
     positive, snap = eda.post_launch_positive, eda.snap_effect
-    is_one = (F.col("item_id") == ONE_SERIES[0]) & (F.col("store_id") == ONE_SERIES[1])
     return {
         "sales_profile": lambda s, f: rounded(
             eda.sales_profile(star.sales_panel(s, f)), "std_sales"
@@ -49,7 +48,9 @@ def queries():
         "zero_share_cat": on_panel(zero, ["cat_id"]),
         "zero_share_year_cat": on_panel(zero, ["year", "cat_id"]),
         "launch_panel": on_panel(eda.launch_panel),
-        "launch_one_series": lambda s, f: eda.launch_panel(star.sales_panel(s, f)).where(is_one),
+        "launch_one_series": lambda s, f: eda.launch_panel(star.sales_panel(s, f)).where(
+            (F.col("item_id") == ONE_SERIES[0]) & (F.col("store_id") == ONE_SERIES[1])
+        ),
         "launch_table": on_panel(series.launch_table),
         "launch_zero_split": on_panel(eda.zero_split_by_launch),
         "launch_zero_split_series": on_panel(eda.zero_split_by_launch, per_series=True),
@@ -75,8 +76,8 @@ def queries():
         "snap_weekday_pivot": on_panel(
             eda.snap_pivot, "weekday", "positive_sales_share", "weekday"
         ),
-        "snap_event_pivot": on_panel(
-            eda.snap_pivot, C.event_flag(), "positive_sales_share", "event_type"
+        "snap_event_pivot": lambda s, f: eda.snap_pivot(
+            star.sales_panel(s, f), C.event_flag(), "positive_sales_share", "event_type"
         ),
         "totals_store": on_panel(total, ["store_id"]),
         "totals_state": on_panel(total, ["state_id"]),
@@ -109,8 +110,8 @@ def queries():
         "post_launch_year_cat": on_panel(profile, ["year", "cat_id"]),
         "post_launch_store_cat": on_panel(profile, ["store_id", "cat_id"]),
         "post_launch_snap": on_panel(profile, ["snap"]),
-        "event_snap_pivot": on_panel(
-            eda.snap_pivot, C.event_flag(), "avg_sales_positive_days", "event_type"
+        "event_snap_pivot": lambda s, f: eda.snap_pivot(
+            star.sales_panel(s, f), C.event_flag(), "avg_sales_positive_days", "event_type"
         ),
         "weekday_snap_zero_pivot": on_panel(
             eda.snap_pivot, "weekday", "zero_sales_pct", "weekday"

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from stocktide.operators.hierarchy import level_errors, level_scales, level_weights
 
-ERROR = F.col("prediction") - F.col("sales")
-
-
 def series_metrics(
     train: DataFrame,
     valid: DataFrame,
@@ -63,11 +60,10 @@ def weighted_levels(
         )
     else:
         raise ValueError(f"unknown zero_scale {zero_scale}")
-    return (
-        _level_share(metrics, by)
-        .withColumn("rmsse", rmsse)
-        .groupBy("level", *by)
-        .agg(F.sum(F.col("rmsse") * F.col("weight")).alias("wrmsse_level"))
+    # The shares of a level sum to one, so the weighted mean needs no join with the level totals.
+    dollars = F.col("dollar_sales")
+    return metrics.groupBy("level", *by).agg(
+        F.try_divide(F.sum(rmsse * dollars), F.sum(dollars)).alias("wrmsse_level")
     )
 
 
@@ -101,14 +97,15 @@ def zero_scale_counts(audit: DataFrame) -> DataFrame:
 
 def with_errors(predictions: DataFrame) -> DataFrame:
     """Error columns of point forecasts."""
+    error = F.col("prediction") - F.col("sales")
     return predictions.withColumns(
         {
-            "error": ERROR,
-            "abs_error": F.abs(ERROR),
-            "squared_error": ERROR * ERROR,
+            "error": error,
+            "abs_error": F.abs(error),
+            "squared_error": error * error,
             "actual_zero": F.col("sales") == 0,
-            "underforecast": ERROR < 0,
-            "overforecast": ERROR > 0,
+            "underforecast": error < 0,
+            "overforecast": error > 0,
             "demand_status": F.when(F.col("sales") == 0, "zero_sales").otherwise(
                 "positive_sales"
             ),

@@ -15,9 +15,17 @@ from stocktide.functions import columns as C
 from stocktide.operators.reshape import pivot_value
 from stocktide.operators.series import with_launch, with_running_sum
 
-ZERO = F.col("sales") == 0
-POSITIVE = F.col("sales") > 0
-LAUNCHED = F.col("date") >= F.col("launch_date")
+
+def zero() -> Column:
+    return F.col("sales") == 0
+
+
+def positive() -> Column:
+    return F.col("sales") > 0
+
+
+def launched() -> Column:
+    return F.col("date") >= F.col("launch_date")
 
 
 def sales_profile(panel: DataFrame) -> DataFrame:
@@ -41,8 +49,8 @@ def zero_share(panel: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Observations and zero-sales days, per group."""
     return panel.groupBy(*keys).agg(
         F.count("*").alias("total_observations"),
-        C.count_where(ZERO).alias("zero_sales"),
-        C.percent(C.count_where(ZERO), F.count("*")).alias("zero_sales_pct"),
+        C.count_where(zero()).alias("zero_sales"),
+        C.percent(C.count_where(zero()), F.count("*")).alias("zero_sales_pct"),
     )
 
 
@@ -67,7 +75,7 @@ def launch_panel(panel: DataFrame) -> DataFrame:
 def zero_split_by_launch(panel: DataFrame, per_series: bool = False) -> DataFrame:
     """Zero days before and after launch, over all rows or per series."""
     keys = ["store_id", "item_id", "launch_date"] if per_series else []
-    before, after = ZERO & ~LAUNCHED, ZERO & LAUNCHED
+    before, after = zero() & ~launched(), zero() & launched()
     return (
         with_launch(panel)
         .groupBy(*keys)
@@ -83,24 +91,31 @@ def zero_split_by_launch(panel: DataFrame, per_series: bool = False) -> DataFram
 
 def zero_timing(panel: DataFrame) -> DataFrame:
     """Where the zero days lie; series without any price stay in the totals."""
-    before, after = ZERO & ~LAUNCHED, ZERO & LAUNCHED
-    zeros = C.count_where(ZERO)
+    before, after = zero() & ~launched(), zero() & launched()
+    zeros = C.count_where(zero())
     return with_launch(panel, how="left").agg(
         F.count("*").alias("total_observations"),
         zeros.alias("zero_sales"),
-        C.count_where(POSITIVE).alias("positive_sales"),
+        C.count_where(positive()).alias("positive_sales"),
         C.count_where(before).alias("zero_sales_before_launch"),
         C.count_where(after).alias("zero_sales_after_launch"),
         C.percent(zeros, F.count("*")).alias("zero_sales_pct"),
-        C.percent(C.count_where(POSITIVE), F.count("*")).alias("positive_sales_pct"),
+        C.percent(C.count_where(positive()), F.count("*")).alias("positive_sales_pct"),
         C.percent(C.count_where(before), zeros).alias("pct_zero_sales_before_launch"),
         C.percent(C.count_where(after), zeros).alias("pct_zero_sales_after_launch"),
     )
 
 
-AFTER = C.count_where(LAUNCHED)
-ZERO_AFTER = C.count_where(ZERO & LAUNCHED)
-POSITIVE_AFTER = C.count_where(POSITIVE & LAUNCHED)
+def days_after() -> Column:
+    return C.count_where(launched())
+
+
+def zero_after() -> Column:
+    return C.count_where(zero() & launched())
+
+
+def positive_after() -> Column:
+    return C.count_where(positive() & launched())
 
 
 def post_launch_zero(
@@ -112,11 +127,11 @@ def post_launch_zero(
     `launched_only` drops the earlier rows first.
     """
     rows = with_launch(panel)
-    rows = rows.where(LAUNCHED) if launched_only else rows
+    rows = rows.where(launched()) if launched_only else rows
     return rows.groupBy(*keys).agg(
-        AFTER.alias("total_sales_after_launch"),
-        ZERO_AFTER.alias("zero_sales_after_launch"),
-        C.percent(ZERO_AFTER, AFTER).alias("zero_pct_after_launch"),
+        days_after().alias("total_sales_after_launch"),
+        zero_after().alias("zero_sales_after_launch"),
+        C.percent(zero_after(), days_after()).alias("zero_pct_after_launch"),
     )
 
 
@@ -126,9 +141,9 @@ def post_launch_positive(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
         with_launch(panel)
         .groupBy(*keys)
         .agg(
-            AFTER.alias("total_observations"),
-            POSITIVE_AFTER.alias("total_sales_after_launch"),
-            C.percent(POSITIVE_AFTER, AFTER).alias("sales_pct_after_launch"),
+            days_after().alias("total_observations"),
+            positive_after().alias("total_sales_after_launch"),
+            C.percent(positive_after(), days_after()).alias("sales_pct_after_launch"),
         )
     )
 
@@ -139,21 +154,21 @@ def snap_effect(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
         with_launch(panel)
         .groupBy(*keys)
         .agg(
-            AFTER.alias("total_observations"),
-            ZERO_AFTER.alias("zero_sales"),
-            POSITIVE_AFTER.alias("positive_sales"),
-            C.share(ZERO_AFTER, AFTER).alias("zero_sales_share"),
-            C.share(POSITIVE_AFTER, AFTER).alias("positive_sales_share"),
+            days_after().alias("total_observations"),
+            zero_after().alias("zero_sales"),
+            positive_after().alias("positive_sales"),
+            C.share(zero_after(), days_after()).alias("zero_sales_share"),
+            C.share(positive_after(), days_after()).alias("positive_sales_share"),
         )
     )
 
 
 def _demand_measures() -> list[Column]:
     return [
-        C.percent(ZERO_AFTER, AFTER).alias("zero_sales_pct"),
-        C.percent(POSITIVE_AFTER, AFTER).alias("positive_sales_pct"),
-        C.mean_where("sales", LAUNCHED).alias("avg_sales_all_days"),
-        C.mean_where("sales", LAUNCHED & POSITIVE).alias("avg_sales_positive_days"),
+        C.percent(zero_after(), days_after()).alias("zero_sales_pct"),
+        C.percent(positive_after(), days_after()).alias("positive_sales_pct"),
+        C.mean_where("sales", launched()).alias("avg_sales_all_days"),
+        C.mean_where("sales", launched() & positive()).alias("avg_sales_positive_days"),
     ]
 
 
@@ -257,7 +272,7 @@ def post_launch_zero_per_series(panel: DataFrame) -> DataFrame:
     return (
         with_launch(panel)
         .groupBy("store_id", "item_id")
-        .agg(C.percent(ZERO_AFTER, AFTER).alias("pct_zero_sales_after_launch"))
+        .agg(C.percent(zero_after(), days_after()).alias("pct_zero_sales_after_launch"))
     )
 
 

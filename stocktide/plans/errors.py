@@ -297,17 +297,18 @@ def attach_context(predictions: DataFrame, panel: DataFrame, columns: Sequence[s
     return predictions.drop(*columns).join(context, [*KEYS, "date"], "left")
 
 
-IS_EVENT = (F.coalesce(F.col("event_name_1"), F.lit(NO_EVENT)) != NO_EVENT).cast("int")
+def is_event() -> Column:
+    return (F.coalesce(F.col("event_name_1"), F.lit(NO_EVENT)) != NO_EVENT).cast("int")
 
 
 def event_errors(errors: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    return error_and_level_by(errors.withColumn("is_event", IS_EVENT), ["is_event", *keys])
+    return error_and_level_by(errors.withColumn("is_event", is_event()), ["is_event", *keys])
 
 
 def event_ratio(errors: DataFrame) -> DataFrame:
     """Absolute error on event days relative to ordinary days."""
-    event = F.avg(F.when(IS_EVENT == 1, F.col("abs_error")))
-    normal = F.avg(F.when(IS_EVENT == 0, F.col("abs_error")))
+    event = F.avg(F.when(is_event() == 1, F.col("abs_error")))
+    normal = F.avg(F.when(is_event() == 0, F.col("abs_error")))
     return errors.agg(F.try_divide(event, normal).alias("event_ratio"))
 
 
@@ -319,7 +320,7 @@ def _mae_pivot(errors: DataFrame, flag: str, names: Sequence[str]) -> DataFrame:
 
 def event_pivot(errors: DataFrame) -> DataFrame:
     """Absolute error by category on ordinary and event days, and the change in percent."""
-    marked = errors.withColumn("is_event", IS_EVENT)
+    marked = errors.withColumn("is_event", is_event())
     return _mae_pivot(marked, "is_event", ["normal_day_mae", "event_day_mae"])
 
 

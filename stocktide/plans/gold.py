@@ -35,15 +35,12 @@ def build_features(
     rows = f.priced_rows(panel.select(*BASE_COLUMNS))
     if truncate_first:
         rows = in_years(rows, start_year, end_year)
-    out = (
-        rows.transform(f.with_launch_date)
+    # Windows over the series come first and share its partitioning; the year filter then cuts
+    # the rows before the two joins move them.
+    own = (
+        rows.transform(f.own_price_features)
         .transform(f.calendar_features)
-        .transform(f.lag_features, horizon)
-        .transform(f.intermittency_features, horizon)
-        .transform(f.recent_demand_features, horizon)
-        .transform(f.magnitude_features, horizon)
-        .transform(f.price_features)
-        .transform(f.encoding_features, horizon, with_store_dept=True)
-        .transform(f.trend_features)
+        .transform(f.own_sales_features, horizon)
     )
-    return out if truncate_first else in_years(out, start_year, end_year)
+    window = in_years(own, start_year, end_year)
+    return f.group_features(window, rows, horizon).transform(f.trend_features)

@@ -90,30 +90,31 @@ def daily_sales(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("item_id"), "p_retailprice"
     )
-    stores = (
-        table(spark, folder, "supplier")
-        .select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
-        .join(table(spark, folder, "nation"), "n_nationkey")
-        .join(
-            table(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey"),
-            "n_regionkey",
-        )
-        .select(
-            "l_suppkey",
-            F.col("n_name").alias("store_id"),
-            F.col("r_name").alias("state_id"),
-            F.col("n_regionkey").alias("region"),
-        )
+    suppliers = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey")
     )
-    return (
+    by_nation = (
         lines.join(parts, "l_partkey")
-        .join(stores, "l_suppkey")
-        .groupBy("item_id", "store_id", "state_id", "region", "date")
+        .join(suppliers, "l_suppkey")
+        .groupBy("item_id", "n_nationkey", "date")
         .agg(
             F.sum("l_quantity").cast("long").alias("sales"),
             F.min("p_retailprice").alias("price"),
         )
     )
+    # Names join after the reduction. Each dimension is joined on its own, so the planner sees its
+    # real size and decides on a broadcast from it.
+    nations = table(spark, folder, "nation").select(
+        "n_nationkey", F.col("n_name").alias("store_id"), F.col("n_regionkey").alias("region")
+    )
+    regions = table(spark, folder, "region").select(
+        F.col("r_regionkey").alias("region"), F.col("r_name").alias("state_id")
+    )
+    return (
+        by_nation.join(nations, "n_nationkey")
+        .join(regions, "region")
+        .select("item_id", "store_id", "state_id", "region", "date", "sales", "price")
+    )
 
 
 def _dense_days(spark: SparkSession, folder: str) -> DataFrame:
