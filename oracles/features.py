@@ -67,7 +67,8 @@ ENCODINGS = {
     "store_cat": "store_id, cat_id",
 }
 ENCODED = ", ".join(
-    f"avg(sales) {known(k)} AS enc_{n}_mean, stddev_samp(sales) {known(k)} AS enc_{n}_std"
+    f"CAST(sum(sales) {known(k)} AS DOUBLE) / nullif(count(sales) {known(k)}, 0) AS enc_{n}_mean, "
+    f"stddev_samp(sales) {known(k)} AS enc_{n}_std"
     for n, k in ENCODINGS.items()
 )
 ENCODED_6 = ", ".join(

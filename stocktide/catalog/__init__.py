@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("panel_queries", "feature_queries", "forecast_queries")
+PARTS = ("panel_queries", "feature_queries", "forecast_queries", "model_queries")
 
 
 def _merge(attribute: str) -> dict:

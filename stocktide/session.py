@@ -51,15 +51,14 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL: dict[str, str] = {}
 
 
-def cut_lineage(df: DataFrame, sort: Sequence[str] = ()) -> DataFrame:
+def cut_lineage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write `df` to the shared folder and return a scan of the written table.
 
     A lost executor then costs a re-read, not the whole job, and every later pass reads only the
-    columns it needs. `sort` orders the rows of each file.
+    columns it needs. `partition_by` gives each value its own folder, for jobs that read one value.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    rows = df.sortWithinPartitions(*sort) if sort else df
-    rows.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
