@@ -238,6 +238,13 @@ FROM (SELECT DISTINCT state_id, store_id, item_id FROM panel) GROUP BY ALL"""),
 SELECT max(i) AS max_items, max(s) AS max_stores
 FROM (SELECT count(DISTINCT item_id) AS i, count(DISTINCT store_id) AS s FROM panel
       GROUP BY item_id || '_' || store_id)"""),
+        "totals_year_month": on_panel("""
+SELECT strftime(date, '%Y-%m') AS year_month, CAST(sum(sales) AS BIGINT) AS total_sales,
+       avg(sales) AS avg_sales, count(*) AS observations FROM panel GROUP BY 1"""),
+        "totals_month_weekday": on_panel("""
+SELECT month, CAST(isodow(date) - 1 AS INTEGER) AS weekday_no,
+       month || '_' || dayname(date) AS month_weekday, CAST(sum(sales) AS BIGINT) AS total_sales,
+       avg(sales) AS avg_sales, count(*) AS observations FROM panel GROUP BY ALL"""),
         "daily_units": on_panel(
             "SELECT date, CAST(sum(sales) AS BIGINT) AS units FROM panel GROUP BY date"
         ),

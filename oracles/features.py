@@ -202,6 +202,16 @@ SELECT * FROM (VALUES ('l_orderkey', %s), ('l_partkey', %s), ('l_suppkey', %s),
 SELECT count(*) AS row_count, min(date) AS min_date, max(date) AS max_date,
   count(DISTINCT date) AS unique_dates, count(DISTINCT item_id) AS unique_items,
   count(DISTINCT store_id) AS unique_stores FROM panel"""),
+        "dataset_fingerprint": on_panel("""
+SELECT *, sha256('{"columns":"item_id:string,dept_id:string,cat_id:string,store_id:string,'
+  || 'state_id:string,date:date,wm_yr_wk:int,d:int,sales:int,sell_price:double,weekday:string,'
+  || 'month:int,year:int,event_name_1:string,event_type_1:string,event_name_2:string,'
+  || 'event_type_2:string,snap:int","max_date":"' || max_date || '","min_date":"' || min_date
+  || '","row_count":' || row_count || ',"unique_dates":' || unique_dates || ',"unique_items":'
+  || unique_items || ',"unique_stores":' || unique_stores || '}') AS fingerprint
+FROM (SELECT count(*) AS row_count, min(date) AS min_date, max(date) AS max_date,
+  count(DISTINCT date) AS unique_dates, count(DISTINCT item_id) AS unique_items,
+  count(DISTINCT store_id) AS unique_stores FROM panel)"""),
         "null_counts": on_panel("""
 SELECT count(*) FILTER (item_id IS NULL) AS item_id, count(*) FILTER (store_id IS NULL) AS store_id,
   count(*) FILTER (date IS NULL) AS date, count(*) FILTER (sales IS NULL) AS sales,

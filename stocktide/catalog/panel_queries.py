@@ -129,6 +129,13 @@ def queries():
         ),
         "series_per_state": lambda s, f: eda.value_counts(series_ids(s, f), ["state_id"]),
         "id_dependency": lambda s, f: eda.id_dependency(series_ids(s, f)),
+        "totals_year_month": lambda s, f: total(
+            star.sales_panel(s, f), [C.year_month().alias("year_month")]
+        ),
+        "totals_month_weekday": lambda s, f: total(
+            star.sales_panel(s, f),
+            ["month", F.weekday("date").alias("weekday_no"), C.month_weekday().alias("month_weekday")],
+        ).orderBy("month", "weekday_no"),
         "daily_units": lambda s, f: star.sales_panel(s, f)
         .groupBy("date")
         .agg(F.sum("sales").alias("units")),

@@ -24,23 +24,32 @@ def launch_table(panel: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFra
     )
 
 
-def with_launch(panel: DataFrame, how: str = "inner", method: str = "window") -> DataFrame:
+LAUNCH_COLUMNS = ("launch_date", "launch_week")
+
+
+def with_launch(
+    panel: DataFrame, how: str = "inner", launches: DataFrame | None = None
+) -> DataFrame:
     """Add launch date and week to each row; `inner` drops series that never had a price.
 
-    `window` reads the panel once and needs no shuffle when it is already partitioned by series.
-    `join` scans the panel twice but moves only one row per series, the better choice for a
-    panel read from files.
+    A panel stored with the launch columns is taken as it is. With a stored `launches` table the
+    rows are joined to it, and the planner broadcasts it if its files are small enough. Otherwise a
+    window over the series finds the launch in one read of the panel, without a shuffle when the
+    panel is already partitioned by series.
     """
-    if method == "join":
-        return panel.join(launch_table(panel), list(SERIES_KEYS), how)
-    w = series_window()
-    priced = F.col("sell_price").isNotNull()
-    out = panel.withColumns(
-        {
-            "launch_date": F.min(F.when(priced, F.col("date"))).over(w),
-            "launch_week": F.min(F.when(priced, F.col("wm_yr_wk"))).over(w),
-        }
-    )
+    if set(LAUNCH_COLUMNS) <= set(panel.columns):
+        out = panel
+    elif launches is not None:
+        return panel.join(launches, list(SERIES_KEYS), how)
+    else:
+        w = series_window()
+        priced = F.col("sell_price").isNotNull()
+        out = panel.withColumns(
+            {
+                "launch_date": F.min(F.when(priced, F.col("date"))).over(w),
+                "launch_week": F.min(F.when(priced, F.col("wm_yr_wk"))).over(w),
+            }
+        )
     return out.where(F.col("launch_date").isNotNull()) if how == "inner" else out
 
 
@@ -116,15 +125,19 @@ def decompose(panel: DataFrame, value: str = "sales", keys: Sequence[str] = SERI
     parts before it, per weekday, per position in a 30-day cycle and per day of year; the rest is
     the residual.
     """
-    w = Window.partitionBy(*keys)
-    by_day = w.orderBy("d")
-    long_frame, short_frame = by_day.rowsBetween(-182, 182), by_day.rowsBetween(-14, 14)
-    trend = F.when(
-        F.count("observed").over(long_frame) == 365, F.avg("observed").over(long_frame)
-    ).otherwise(F.avg("observed").over(short_frame))
+    by_day = Window.partitionBy(*keys).orderBy("d")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The long frame is a difference of running totals: one step per row instead of 365.
+    upper, first = F.lead("_total", 182).over(by_day), F.lag("_total", 182).over(by_day)
+    before = F.lag("_total", 183, 0.0).over(by_day)
+    trend = F.when(upper.isNotNull() & first.isNotNull(), (upper - before) / 365).otherwise(
+        F.avg("observed").over(by_day.rowsBetween(-14, 14))
+    )
     out = (
         panel.select(*keys, "d", "date", F.col(value).cast("double").alias("observed"))
+        .withColumn("_total", F.sum("observed").over(so_far))
         .withColumn("trend", trend)
+        .drop("_total")
         .withColumns(
             {"_wday": F.weekday("date"), "_cycle": F.col("d") % 30, "_yday": F.dayofyear("date")}
         )

@@ -249,12 +249,15 @@ def sales_wide(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("d", "sales"))).alias("days"))
         .withColumn("units", F.col("days.sales"))
     )
-    return units.select(
+    named = units.select(
         F.concat_ws("_", "item_id", "store_id").alias("id"),
         "item_id",
         dept.alias("dept_id"),
         _category(dept).alias("cat_id"),
         "store_id",
         "state_id",
-        *[F.col("units")[i].alias(f"d_{i + 1}") for i in range(n_days)],
+        "units",
     )
+    days = ", ".join(f"units[{i}] AS d_{i + 1}" for i in range(n_days))
+    ids = ", ".join(c for c in named.columns if c != "units")
+    return spark.sql(f"SELECT {ids}, {days} FROM {{named}}", named=named)

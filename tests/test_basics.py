@@ -101,8 +101,11 @@ def test_launch_by_window_and_by_join_agree(make_panel):
     )
     for how in ("inner", "left"):
         one = series.with_launch(panel, how).select("item_id", "d", "launch_date", "launch_week")
-        two = series.with_launch(panel, how, "join").select(one.columns)
+        launches = series.launch_table(panel)
+        two = series.with_launch(panel, how, launches).select(one.columns)
         assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    stored = series.with_launch(panel)
+    assert series.with_launch(stored) is not None and series.with_launch(stored).count() == 20
     assert series.launch_table(panel).first()["launch_date"] == date(2015, 1, 11)
 
 
