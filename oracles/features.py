@@ -13,13 +13,6 @@ def frame(size):
     return f"OVER ({W} ROWS BETWEEN {28 + size - 1} PRECEDING AND 28 PRECEDING)"
 
 
-def known(keys):
-    return (
-        f"OVER (PARTITION BY {keys} ORDER BY date "
-        "RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 28 DAYS PRECEDING)"
-    )
-
-
 CALENDAR = """CAST(week(date) AS INTEGER) AS week_of_year,
   CAST(isodow(date) AS INTEGER) AS day_of_week, CAST(day(date) AS INTEGER) AS day_of_month,
   CASE WHEN isodow(date) >= 6 THEN 1 ELSE 0 END AS is_weekend"""
@@ -66,10 +59,24 @@ ENCODINGS = {
     "store_dept": "store_id, dept_id",
     "store_cat": "store_id, cat_id",
 }
-ENCODED = ", ".join(
-    f"CAST(sum(sales) {known(k)} AS DOUBLE) / nullif(count(sales) {known(k)}, 0) AS enc_{n}_mean, "
-    f"stddev_samp(sales) {known(k)} AS enc_{n}_std"
-    for n, k in ENCODINGS.items()
+
+
+def _encoding(name, keys):
+    """Totals of a key up to each day, shown 28 days later."""
+    return f"""enc_{name} AS MATERIALIZED (
+  SELECT {keys}, d + 28 AS d, CAST(total AS DOUBLE) / n AS enc_{name}_mean,
+    CASE WHEN n > 1 THEN sqrt((squares - CAST(total AS DOUBLE) * total / n) / (n - 1)) END
+      AS enc_{name}_std
+  FROM (
+    SELECT {keys}, d, sum(n) OVER w AS n, sum(s) OVER w AS total, sum(q) OVER w AS squares
+    FROM (SELECT {keys}, d, count(sales) AS n, sum(sales) AS s, sum(sales * sales) AS q
+          FROM priced GROUP BY ALL)
+    WINDOW w AS (PARTITION BY {keys} ORDER BY d ROWS UNBOUNDED PRECEDING)))"""
+
+
+ENCODED_TABLES = [_encoding(n, k) for n, k in ENCODINGS.items()]
+ENCODED_JOINS = " ".join(
+    f"LEFT JOIN enc_{n} USING ({k}, d)" for n, k in ENCODINGS.items()
 )
 ENCODED_6 = ", ".join(
     f"enc_{n}_mean, round(enc_{n}_std, 6) AS enc_{n}_std"
@@ -101,9 +108,10 @@ def gold(where_before="TRUE", where_after=YEARS):
     priced = PRICED.replace("WHERE", f"WHERE {where_before} AND")
     everything = f"""everything AS (
   SELECT {BASE}, min(date) OVER ({W}) AS launch_date, {CALENDAR}, {LAGS}, {INTERMITTENCY},
-    {RECENT}, {MAGNITUDE}, {PRICE}, store_dept_rolling_avg, {ENCODED}
+    {RECENT}, {MAGNITUDE}, {PRICE}, store_dept_rolling_avg,
+    {', '.join(f'enc_{n}_mean, enc_{n}_std' for n in ENCODINGS)}
   FROM priced JOIN price_stats USING (item_id, store_id)
-  LEFT JOIN rolled USING (store_id, dept_id, date))"""
+  LEFT JOIN rolled USING (store_id, dept_id, date) {ENCODED_JOINS})"""
     return on_panel(
         f"""
 SELECT * EXCLUDE ({', '.join(f'enc_{n}_mean, enc_{n}_std' for n in ENCODINGS)}),
@@ -112,12 +120,13 @@ FROM everything WHERE {where_after}""",
         priced,
         PRICE_STATS,
         ROLLED,
+        *ENCODED_TABLES,
         everything,
     )
 
 
 def statements():
-    trend_source = f"(SELECT *, {RECENT}, {ENCODED} FROM priced)"
+    trend_source = f"(SELECT *, {RECENT} FROM priced) {ENCODED_JOINS}"
     raw_calendar = """
 SELECT 'd_' || d AS d, date, wm_yr_wk, weekday, month, year, event_name_1, event_type_1,
        event_name_2, event_type_2,
@@ -269,8 +278,10 @@ SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0""",
             "store_dept_rolling_avg", ROLLED,
             source="priced LEFT JOIN rolled USING (store_id, dept_id, date)",
         ),
-        "feat_encodings": feature(ENCODED_6, source=f"(SELECT *, {ENCODED} FROM priced)"),
-        "feat_trend": feature(TREND, source=trend_source),
+        "feat_encodings": feature(
+            ENCODED_6, *ENCODED_TABLES, source=f"priced {ENCODED_JOINS}"
+        ),
+        "feat_trend": feature(TREND, *ENCODED_TABLES, source=trend_source),
         "feat_lifecycle": on_panel(f"""
 SELECT {KEYS}, launch_date, CAST(date_diff('day', launch_date, date) AS INTEGER)
     AS days_since_launch, CAST(date >= launch_date AS INTEGER) AS is_available,
