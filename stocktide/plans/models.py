@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +61,12 @@ def _stages(names: Sequence[str], one_hot: bool) -> list:
     categorical = [n for n in names if n in CATEGORICAL_FEATURES]
     inputs = [n for n in names if n not in CATEGORICAL_FEATURES]
     stages: list = []
+    if one_hot and inputs:
+        # Under a log link a raw level of 100 units would enter as exp(100 b); its logarithm enters
+        # as a power of the level.
+        logs = ", ".join(f"ln(1 + greatest(`{n}`, 0)) AS `{n}_log`" for n in inputs)
+        stages.append(SQLTransformer(statement=f"SELECT *, {logs} FROM __THIS__"))
+        inputs = [f"{n}_log" for n in inputs]
     if categorical:
         codes = [f"{n}_code" for n in categorical]
         stages.append(
@@ -81,7 +87,7 @@ def glm_pipeline(
     regularisation: float = 0.1,
     max_iterations: int = 10,
 ) -> Pipeline:
-    """Tweedie regression with a log link."""
+    """Tweedie regression with a log link on logarithms of the numeric features."""
     learner = GeneralizedLinearRegression(
         family="tweedie",
         variancePower=variance_power,
