@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from stocktide.catalog.feature_queries import FIRST_YEAR, LAST_YEAR
-from stocktide.config import GLOBAL_TREES
+from stocktide.config import GLOBAL_TREES, STORE_TREES
 from stocktide.plans import gold, models, reports, validation
 from stocktide.session import cut_lineage, shared_folder
 from stocktide.sources import star_schema as star
@@ -18,6 +18,8 @@ from stocktide.sources import star_schema as star
 TREES = 5
 GRID = (1, 3, 5)
 SMALL_TREES = {**GLOBAL_TREES, "num_leaves": 16, "max_bin": 31, "learning_rate": 0.3}
+STORE_TREE_COUNT = 2
+SMALL_STORE_TREES = {**STORE_TREES, "num_leaves": 8, "max_bin": 31, "learning_rate": 0.3}
 SEEDS = (1, 2)
 
 
@@ -35,6 +37,10 @@ def trees(names, **kwargs):
     return models.tree_pipeline(names, SMALL_TREES, TREES, **kwargs)
 
 
+def store_trees(names):
+    return models.tree_pipeline(names, SMALL_STORE_TREES, STORE_TREE_COUNT)
+
+
 def _glm_forecast(spark, folder):
     return models.fit_predict(*split(spark, folder), models.default_features())[1]
 
@@ -44,13 +50,13 @@ def _tree_forecast(spark, folder):
 
 
 def _store_models(spark, folder):
-    return models.store_forecasts(*split(spark, folder), models.default_features())
+    return models.store_forecasts(*split(spark, folder), models.default_features(), store_trees)
 
 
 def _store_folds(spark, folder):
     rows = feature_rows(spark, folder)
     folds = validation.folds_of(rows, 2)
-    found = models.store_out_of_fold(rows, folds, models.default_features())
+    found = models.store_out_of_fold(rows, folds, models.default_features(), store_trees)
     return found.groupBy("fold", "store_id").agg(
         F.count("*").alias("rows"), F.sum("prediction").alias("predicted_units")
     )
@@ -78,7 +84,7 @@ def _ensemble(spark, folder):
     train, test = split(spark, folder)
     names = models.default_features()
     wide = models.fit_predict(train, test, names)[1]
-    combined = models.ensemble(wide, models.store_forecasts(train, test, names))
+    combined = models.ensemble(wide, models.store_forecasts(train, test, names, store_trees))
     return models.ensemble_scores(train, cut_lineage(combined))
 
 
