@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -35,20 +34,11 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, reachable from every executor.
 
-    It is the one named in `spark.checkpoint.dir`. Only a local master, where one machine holds
-    everything, gets a temporary folder when nothing is set.
+    It is the one named in `spark.checkpoint.dir`; without one, a folder in the SQL warehouse, which a
+    cluster shares anyway.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if "folder" not in _LOCAL:
-        _LOCAL["folder"] = tempfile.mkdtemp(prefix="stocktide-")
-    return _LOCAL["folder"]
-
-
-_LOCAL: dict[str, str] = {}
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
 def cut_lineage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
