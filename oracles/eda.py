@@ -166,7 +166,7 @@ FROM panel WHERE item_id = 'Brand#13' AND store_id = 'NATION_7'
         "sales_hist": on_panel("""
 SELECT sales, count(*) AS sales_dist,
        round(count(*) / sum(count(*)) OVER () * 100, 2) AS pct
-FROM panel WHERE sales <= 1000 GROUP BY sales"""),
+FROM panel WHERE sales IS NOT NULL GROUP BY sales"""),
         "sales_buckets": on_panel("""
 SELECT CASE WHEN sales = 0 THEN '0' WHEN sales BETWEEN 1 AND 5 THEN '1-5'
             WHEN sales BETWEEN 6 AND 10 THEN '6-10' WHEN sales BETWEEN 11 AND 20 THEN '11-20'

@@ -198,14 +198,19 @@ FROM (SELECT DISTINCT date FROM daily) x LEFT JOIN (SELECT DISTINCT date FROM pa
 """),
         "narrow_types": """
 SELECT * FROM (VALUES ('l_orderkey', %s), ('l_partkey', %s), ('l_suppkey', %s),
-  ('l_linenumber', %s), ('l_quantity', 'float'), ('l_extendedprice', 'float'),
-  ('l_discount', 'float'), ('l_tax', 'float')) AS t(column_name, storage_type)"""
+  ('l_linenumber', %s), ('l_quantity', %%s), ('l_extendedprice', %%s),
+  ('l_discount', %%s), ('l_tax', %%s)) AS t(column_name, storage_type)"""
         % tuple(
             f"""(SELECT CASE WHEN min({c}) >= -128 AND max({c}) <= 127 THEN 'tinyint'
   WHEN min({c}) >= -32768 AND max({c}) <= 32767 THEN 'smallint'
   WHEN min({c}) >= -2147483648 AND max({c}) <= 2147483647 THEN 'int' ELSE 'bigint' END
   FROM lineitem)"""
             for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+        )
+        % tuple(
+            f"""(SELECT CASE WHEN count(*) FILTER (CAST(CAST({c} AS FLOAT) AS DOUBLE) IS DISTINCT FROM {c}) > 0
+  THEN 'double' ELSE 'float' END FROM lineitem)"""
+            for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
         ),
         "dataset_profile": on_panel("""
 SELECT count(*) AS row_count, min(date) AS min_date, max(date) AS max_date,

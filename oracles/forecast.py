@@ -253,7 +253,7 @@ WHERE d <= 2471 + 28 AND year >= 2000 AND sell_price IS NOT NULL"""),
         ),
         "wrmsse_keep_zero_scale": on_panel("""
 SELECT round(avg(s), 6) AS wrmsse FROM (
-  SELECT level, sum(CASE WHEN NOT mse > 0 THEN 0 WHEN scale = 0 THEN CAST('inf' AS DOUBLE)
+  SELECT level, sum(CASE WHEN dollar_sales = 0 OR NOT mse > 0 THEN 0 WHEN scale = 0 THEN CAST('inf' AS DOUBLE)
                          ELSE sqrt(mse / scale) END * dollar_sales / total) AS s
   FROM (SELECT *, sum(dollar_sales) OVER (PARTITION BY level) AS total FROM metrics)
   GROUP BY level)""", *score),

@@ -25,17 +25,22 @@ def integer_type_for(low: int | None, high: int | None) -> str:
 
 
 def narrowest_types(df: DataFrame) -> dict[str, str]:
-    """Storage type per numeric column, from one pass over minima and maxima."""
+    """Storage type per numeric column, from one pass over minima, maxima and round trips.
+
+    A double becomes a float only if every value of the column comes back from it unchanged.
+    """
     whole = [f.name for f in df.schema if isinstance(f.dataType, _WHOLE)]
     real = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
-    chosen = {name: "float" for name in real}
-    if whole:
-        bounds = df.agg(
-            *[F.min(c).alias(f"lo_{c}") for c in whole],
-            *[F.max(c).alias(f"hi_{c}") for c in whole],
-        ).first()
-        chosen |= {c: integer_type_for(bounds[f"lo_{c}"], bounds[f"hi_{c}"]) for c in whole}
-    return chosen
+    if not whole and not real:
+        return {}
+    changed = [~F.col(c).cast("float").cast("double").eqNullSafe(F.col(c)) for c in real]
+    found = df.agg(
+        *[F.min(c).alias(f"lo_{c}") for c in whole],
+        *[F.max(c).alias(f"hi_{c}") for c in whole],
+        *[F.count(F.when(x, 1)).alias(f"changed_{c}") for c, x in zip(real, changed)],
+    ).first()
+    chosen = {c: "double" if found[f"changed_{c}"] else "float" for c in real}
+    return chosen | {c: integer_type_for(found[f"lo_{c}"], found[f"hi_{c}"]) for c in whole}
 
 
 def narrow_types(df: DataFrame) -> DataFrame:

@@ -61,9 +61,11 @@ def weighted_levels(
     else:
         raise ValueError(f"unknown zero_scale {zero_scale}")
     # The shares of a level sum to one, so the weighted mean needs no join with the level totals.
+    # A series without weight adds nothing, also where its error is infinite (infinity x 0 is no number).
     dollars = F.col("dollar_sales")
+    term = F.when(dollars != 0, rmsse * dollars).otherwise(0.0)
     return metrics.groupBy("level", *by).agg(
-        F.try_divide(F.sum(rmsse * dollars), F.sum(dollars)).alias("wrmsse_level")
+        F.try_divide(F.sum(term), F.sum(dollars)).alias("wrmsse_level")
     )
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.functions import columns as C
@@ -214,17 +214,11 @@ def series_slice(panel: DataFrame, item_id: str, store_id: str, first: str, last
     return with_running_sum(daily)
 
 
-def sales_histogram(panel: DataFrame, limit: int = 1000) -> DataFrame:
-    """Days per sales value and their percentage of all days up to `limit` units.
-
-    The total is a window over the histogram, which has at most one row per value up to `limit`.
-    """
-    counts = (
-        panel.where(F.col("sales") <= limit)
-        .groupBy("sales")
-        .agg(F.count("*").alias("sales_dist"))
-    )
-    total = F.sum("sales_dist").over(Window.partitionBy(F.lit(1)))
+def sales_histogram(panel: DataFrame, limit: int | None = None) -> DataFrame:
+    """Days per sales value and their percentage of all days, or of those up to `limit` units."""
+    kept = panel.where(F.col("sales").isNotNull() if limit is None else F.col("sales") <= limit)
+    counts = kept.groupBy("sales").agg(F.count("*").alias("sales_dist"))
+    total = counts.agg(F.sum("sales_dist")).scalar()
     return counts.withColumn("pct", C.percent("sales_dist", total))
 
 

@@ -17,6 +17,7 @@ from stocktide.operators.scoring import rate, with_errors
 SLICES = ("store_id", "cat_id", "dept_id", "price_band", "volume_decile", "sale_frequency")
 INTERMITTENCY_DAYS = 91
 NO_SALES_DECILE = "D00 no sales"
+UNKNOWN_DECILE = "unknown"
 KEYS = list(SERIES_KEYS)
 
 
@@ -56,15 +57,19 @@ def recent_volume(train: DataFrame, days: int = HORIZON) -> DataFrame:
 
 
 def volume_deciles(volume: DataFrame) -> DataFrame:
-    """Tenths of the selling series by mean sales; ties are ranked by item and store."""
+    """Tenths of the selling series by mean sales; ties are ranked by item and store.
+
+    A series without a known volume has a label of its own.
+    """
     selling = volume.where(F.col("mean_sales") > 0)
     ranked = with_row_number(selling, ["mean_sales", "item_id", "store_id"], "_rank")
     total = ranked.agg(F.count("*").alias("n")).scalar()
     label = F.concat(
         F.lit("D"), F.lpad(decile_of_rank(F.col("_rank"), total).cast("string"), 2, "0")
     )
-    silent = volume.where(~(F.col("mean_sales") > 0)).withColumn(
-        "volume_decile", F.lit(NO_SALES_DECILE)
+    known = F.col("mean_sales").isNotNull()
+    silent = volume.where(~known | ~(F.col("mean_sales") > 0)).withColumn(
+        "volume_decile", F.when(known, NO_SALES_DECILE).otherwise(UNKNOWN_DECILE)
     )
     return ranked.withColumn("volume_decile", label).drop("_rank").unionByName(silent)
 
@@ -85,8 +90,8 @@ def series_profile(train: DataFrame, valid: DataFrame, squared: bool = False) ->
     """One row per series: scores, price band, volume decile, sale frequency and weight."""
     profile = (
         series_scores(train, valid, squared)
-        .join(price_bands(valid), KEYS)
-        .join(volume_deciles(recent_volume(train)), KEYS)
+        .join(price_bands(valid), KEYS, "left")
+        .join(volume_deciles(recent_volume(train)), KEYS, "left")
         .join(sale_frequency(train), KEYS, "left")
     )
     total = profile.agg(F.sum("dollar_sales").alias("total")).scalar()

@@ -35,7 +35,7 @@ def load_window(
 
 
 def write_panel(panel: DataFrame, path: str, max_rows_per_file: int = 5_000_000) -> dict:
-    """Write the long panel by year and return rows written and the output folder.
+    """Replace the long panel, written by year, and return rows written and the output folder.
 
     The counters ride on the write itself, so no second pass counts the rows.
     """
@@ -43,6 +43,7 @@ def write_panel(panel: DataFrame, path: str, max_rows_per_file: int = 5_000_000)
     (
         panel.observe(seen, F.count("*").alias("rows"))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("compression", "zstd")
         .option("maxRecordsPerFile", max_rows_per_file)
         .partitionBy("year")
@@ -76,7 +77,8 @@ def write_features(
 
 
 def write_predictions(predictions: DataFrame, path: str, by: str | None = "fold") -> None:
-    writer = predictions.write.mode("overwrite")
+    """Replace all stored predictions, also of folds that the new ones lack."""
+    writer = predictions.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(by) if by else writer).parquet(path)
 
 
