@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders written inside each open `released_tables` block, the innermost last.
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
+
 
 def build_session(
     name: str = "stocktide", master: str | None = None, **conf: str
@@ -41,17 +46,41 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
-def cut_lineage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+def cut_lineage(
+    df: DataFrame, partition_by: Sequence[str] = (), keep: bool = False
+) -> DataFrame:
     """Write `df` to the shared folder and return a scan of the written table.
 
     A lost executor then costs a re-read, not the whole job, and every later pass reads only the
     columns it needs. `partition_by` gives each value its own folder, for jobs that read one value.
+    Inside `released_tables` the table goes at the end of the block; with `keep` it outlives it.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    blocks = _blocks.get()[: -1 if keep else None]
+    if blocks:
+        blocks[-1].append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete at its end the tables that `cut_lineage` writes inside the block.
+
+    Only frames that read kept tables may leave the block. A kept table belongs to the block
+    around this one, if there is any.
+    """
+    paths: list[str] = []
+    token = _blocks.set((*_blocks.get(), paths))
+    try:
+        yield
+    finally:
+        _blocks.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Number of shuffle partitions the session is set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -118,3 +118,20 @@ def test_append_takes_only_new_rows(spark, dense, tmp_path):
     shutil.copytree(source, source + "_again")
     append.append_new_files(spark, source + "_again", dense.schema, target, marks + "_2")
     assert spark.read.parquet(target).count() == dense.count()
+
+
+def test_released_tables_go_and_kept_ones_stay(spark):
+    import os
+
+    from stocktide.session import cut_lineage, released_tables
+
+    def folder(df):
+        return os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+
+    with released_tables(spark):
+        with released_tables(spark):
+            inner, kept = cut_lineage(spark.range(3)), cut_lineage(spark.range(4), keep=True)
+            paths = folder(inner), folder(kept)
+        assert not os.path.exists(paths[0]) and kept.count() == 4
+    assert not os.path.exists(paths[1])
+    assert cut_lineage(spark.range(5)).count() == 5
