@@ -33,10 +33,10 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.common import packed, ship, text_or_empty, unpacked
+from stocktide.llm.common import packed, row_key, ship, text_or_empty, unpacked
 from stocktide.llm.grams import WHITE, Hasher
 from stocktide.llm.sketches import SCHEMA, batches_of, shingle_sets, sketch_batches
-from stocktide.session import cut_lineage
+from stocktide.session import cut_lineage, released_tables
 
 WIDTH, PER_CENT = 4, 80
 CHUNKS, CHUNK = 16, 5
@@ -185,11 +185,16 @@ def _rest(shared: DataFrame, sets: DataFrame, comps: DataFrame, per_cent: int) -
 
 def classify(documents: DataFrame, width: int = WIDTH, per_cent: int = PER_CENT) -> DataFrame:
     """Per row of `documents` its `doc_id`, `n_shingles` and `component_id`."""
+    with released_tables(documents.sparkSession):
+        return _classified(documents, width, per_cent)
+
+
+def _classified(documents: DataFrame, width: int, per_cent: int) -> DataFrame:
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    sketched = cut_lineage(texts.mapInArrow(sketch_batches(width, CHUNKS * CHUNK), SCHEMA))
+    sketched = cut_lineage(texts.mapInArrow(sketch_batches(width, CHUNKS * CHUNK), SCHEMA), keep=True)
     real = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["set_a", "set_b", "n_shingles"]
-    classes = cut_lineage(real.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")))
+    classes = cut_lineage(real.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), keep=True)
 
     keyed = classes.select(F.col("rep").alias("id"), F.explode(_keys(F.col("signature"))).alias("key"))
     several = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
@@ -208,6 +213,7 @@ def classify(documents: DataFrame, width: int = WIDTH, per_cent: int = PER_CENT)
     more = cut_lineage(_rest(shared, sets, comps, per_cent))
     if not more.isEmpty():
         comps = components(links.unionByName(more))
+    comps = cut_lineage(comps, keep=True)
 
     reps = classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(*same, F.coalesce("comp", "rep").alias("comp"))
     members = sketched.withColumn("_real", (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -223,12 +229,21 @@ def report(documents: DataFrame) -> DataFrame:
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The documents that stay, one of each component, with all their columns.
 
-    Of rows with the same id and component one stays: the first by content."""
+    Rows without an id stay. Of rows with the same id and text one stays. Whole rows are joined with the ids that go
+    or repeat, which are fewer than those that stay."""
     columns = documents.columns
-    kept = report(documents.select("doc_id", "text")).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = packed(documents).withColumn("id", F.col("row.doc_id").cast("long"))
-    stay = rows.join(cut_lineage(kept).withColumnRenamed("doc_id", "id"), "id", "left_semi")
-    return unpacked(stay.unionByName(rows.where("id IS NULL")), columns)
+    with released_tables(documents.sparkSession):
+        per_id = report(documents.select("doc_id", "text")).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
+        marks = per_id.agg(F.max("kept").alias("stays"), F.count("*").alias("n")).where("NOT stays OR n > 1")
+        marks = cut_lineage(marks, keep=True)
+    rows = packed(documents).withColumn("id", F.col("row.doc_id").cast("long")).join(marks, "id", "left")
+    once = rows.where("n IS NULL OR (stays AND n = 1)")
+    repeated = marks.where("stays AND n > 1")
+    if repeated.isEmpty():
+        return unpacked(once, columns)
+    several = rows.where("stays AND n > 1").withColumn("key", row_key(F.col("id"), text_or_empty("row.text")))
+    first = several.groupBy("id", "key").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return unpacked(once.select("row").unionByName(first.select("row")), columns)
 
 
 ship(__name__)

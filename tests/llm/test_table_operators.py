@@ -63,6 +63,15 @@ def test_near_dedup_keeps_one_of_each_group(documents, rows, odd):
     assert near_dedup.deduplicated(odd).where("doc_id IS NULL").count() == 2
 
 
+def test_near_dedup_keeps_one_of_repeated_rows(spark):
+    copy = prose(7, 40, 3000)
+    rows = [(5, copy, "a"), (5, copy, "a"), (5, copy, "b"), (9, copy, "a"), (6, "", "a"), (6, "", "a"), (7, None, "c"), (8, "", "c")]
+    found = near_dedup.deduplicated(table(spark, rows)).collect()
+    assert sorted(r.doc_id for r in found) == [5, 6, 7, 8]
+    again = near_dedup.deduplicated(table(spark, rows[::-1])).collect()
+    assert {(r.doc_id, r.source) for r in found} == {(r.doc_id, r.source) for r in again}
+
+
 def brute_repeats(rows):
     """Lines that must go: later whole-line repeats of 50 words and more; and those that may go."""
     seen, must = set(), defaultdict(set)
