@@ -3,7 +3,7 @@
 from oracles.panel import PANEL, on_panel
 
 KEYS = "item_id, store_id, d"
-YEARS = "year BETWEEN 2000 AND 2001"
+YEARS = "year BETWEEN (SELECT max(year) - 1 FROM panel) AND (SELECT max(year) FROM panel)"
 PRICED = "priced AS (SELECT * FROM panel WHERE sell_price IS NOT NULL)"
 S = "PARTITION BY item_id, store_id"
 W = f"{S} ORDER BY date"
@@ -42,8 +42,9 @@ PRICE = f"""
   round(sell_price / avg(sell_price) OVER ({S}, month, year), 2) AS price_change_m,
   round(sell_price / avg(sell_price) OVER ({S}, year), 2) AS price_change_y,
   round(sell_price / price_avg, 2) AS price_vs_usual,
-  round(sell_price / avg(sell_price) OVER (PARTITION BY store_id, dept_id, wm_yr_wk), 2)
-    AS price_vs_dept"""
+  round(sell_price / (CAST(sum(CAST(sell_price AS DECIMAL(18, 4))) OVER (
+    PARTITION BY store_id, dept_id, wm_yr_wk) AS DOUBLE)
+    / count(sell_price) OVER (PARTITION BY store_id, dept_id, wm_yr_wk)), 2) AS price_vs_dept"""
 PRICE_STATS = """price_stats AS (
   SELECT item_id, store_id, count(DISTINCT sell_price) AS size_of, max(sell_price) AS price_max,
          min(sell_price) AS price_min, avg(sell_price) AS price_avg
@@ -92,12 +93,7 @@ TREND = """
 
 
 def feature(select, *extra, source="priced"):
-    return on_panel(
-        f"""
-SELECT * EXCLUDE (year) FROM (SELECT {KEYS}, year, {select} FROM {source}) WHERE {YEARS}""",
-        PRICED,
-        *extra,
-    )
+    return on_panel(f"SELECT {KEYS}, {select} FROM {source}", PRICED, *extra)
 
 
 BASE = """item_id, store_id, state_id, cat_id, dept_id, d, date, wm_yr_wk, year, month, weekday,
@@ -260,11 +256,18 @@ SELECT * FROM (
   SELECT 'not_empty' AS "check", 'lineitem' AS level, count(*) > 0 AS passed,
          CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) AS failing_rows FROM lineitem
   UNION ALL SELECT 'columns_present', 'lineitem', TRUE, 0
-  UNION ALL SELECT 'row_count', 'lineitem', count(*) = 60000, abs(count(*) - 60000) FROM lineitem
   UNION ALL SELECT 'not_empty', 'nation', count(*) > 0, CASE WHEN count(*) > 0 THEN 0 ELSE 1 END
   FROM nation
   UNION ALL SELECT 'columns_present', 'nation', FALSE, 1
-  UNION ALL SELECT 'row_count', 'nation', count(*) = 25, abs(count(*) - 25) FROM nation)"""),
+  UNION ALL SELECT 'row_count', 'nation', count(*) = 25, abs(count(*) - 25) FROM nation
+  UNION ALL SELECT 'not_empty', 'calendar', count(*) > 0, CASE WHEN count(*) > 0 THEN 0 ELSE 1 END
+  FROM days
+  UNION ALL SELECT 'columns_present', 'calendar', TRUE, 0
+  UNION ALL SELECT 'row_count', 'calendar', n = want, abs(n - want)
+  FROM (SELECT count(*) AS n, date_diff('day', min(lo), min(hi)) + 1 AS want FROM days, span)
+  UNION ALL SELECT 'not_empty', 'prices', count(*) > 0, CASE WHEN count(*) > 0 THEN 0 ELSE 1 END
+  FROM prices
+  UNION ALL SELECT 'columns_present', 'prices', TRUE, 0)""", prices),
         "dq_broken_series": on_panel("""
 SELECT item_id, store_id, count(*) AS rows,
        date_diff('day', min(date), max(date)) + 1 AS expected_days

@@ -18,7 +18,8 @@ LEVELS = {
 }
 
 HISTORY = """history AS MATERIALIZED (
-  SELECT * FROM panel WHERE sell_price IS NOT NULL AND year BETWEEN 2000 AND 2001)"""
+  SELECT * FROM panel WHERE sell_price IS NOT NULL AND year BETWEEN (SELECT max(year) - 1 FROM panel)
+    AND (SELECT max(year) FROM panel))"""
 BOUNDS = "bounds AS (SELECT min(date) AS first, max(date) AS last FROM history)"
 
 
@@ -229,7 +230,16 @@ SELECT (SELECT count(*) FROM train) AS num_train_rows,
             *base()),
         "load_window": on_panel("""
 SELECT item_id, store_id, d, sales, sell_price FROM panel
-WHERE d <= 2471 + 28 AND year >= 2000 AND sell_price IS NOT NULL"""),
+WHERE d <= (SELECT max(d) FROM panel) - 28 AND year >= (SELECT max(year) - 1 FROM panel)
+  AND sell_price IS NOT NULL"""),
+        "stored_predictions": on_panel(
+            "SELECT fold, item_id, store_id, date, sales, prediction FROM seasonal",
+            *base(3), SEASONAL,
+        ),
+        "forecast_duplicates": on_panel(
+            """SELECT count(*) - count(DISTINCT (fold, item_id, store_id, date)) AS duplicates
+FROM seasonal""", *base(3), SEASONAL,
+        ),
         "naive_forecast": on_panel(
             "SELECT item_id, store_id, date, sales, prediction FROM naive", *base(), NAIVE
         ),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.config import ENCODINGS, PANEL_COLUMNS
@@ -13,9 +16,6 @@ from stocktide.plans import eda, gold, ingestion
 from stocktide.sources import bronze
 from stocktide.sources import star_schema as star
 
-# Training window of the panel: its last two years.
-FIRST_YEAR, LAST_YEAR = 2000, 2001
-
 SPREADS = [f"enc_{n}_std" for n in ENCODINGS]
 TRENDS = [
     "trend_28_vs_long", "trend_7_vs_28", "trend_28_vs_56", "item_vs_dept", "item_vs_cat",
@@ -23,15 +23,27 @@ TRENDS = [
 ]
 
 
+def panel_days(spark, folder):
+    """Number of days of the panel and its last date."""
+    span = star.date_span(spark, folder).first()
+    return (span["last_date"] - span["first_date"]).days + 1, span["last_date"]
+
+
+def training_years(spark, folder):
+    """First and last year of the training window: the panel's last two years."""
+    last = panel_days(spark, folder)[1].year
+    return last - 1, last
+
+
 def feature(build, *args, also=(), round_to=(), **kwargs):
-    """A feature group over the whole history, cut to the training window afterwards."""
+    """A feature group over the whole history."""
 
     def query(spark, folder):
         rows = f.priced_rows(star.sales_panel(spark, folder))
         before = set(rows.columns)
         out = build(rows, *args, **kwargs)
         new = [c for c in out.columns if c not in before and (not also or c in also)]
-        out = gold.in_years(out, FIRST_YEAR, LAST_YEAR).select("item_id", "store_id", "d", *new)
+        out = out.select("item_id", "store_id", "d", *new)
         return rounded(out, *round_to) if round_to else out
 
     return query
@@ -64,16 +76,20 @@ def _narrow_types(spark, folder):
 
 
 def _raw_table_checks(spark, folder):
-    lines = star.table(spark, folder, "lineitem")
-    nations = star.table(spark, folder, "nation")
-    return quality.check_raw_table(
-        lines, ["l_orderkey", "l_shipdate"], 60000, "lineitem"
-    ).unionByName(quality.check_raw_table(nations, ["n_name", "n_comment"], 25, "nation"))
+    days = panel_days(spark, folder)[0]
+    raw = (
+        ("lineitem", star.table(spark, folder, "lineitem"), ["l_orderkey", "l_shipdate"], None),
+        ("nation", star.table(spark, folder, "nation"), ["n_name", "n_comment"], 25),
+        ("calendar", star.calendar_raw(spark, folder), ["d", "date", "wm_yr_wk"], days),
+        ("prices", star.prices_raw(spark, folder), ["store_id", "item_id", "sell_price"], None),
+    )
+    checks = [quality.check_raw_table(df, names, rows, level) for level, df, names, rows in raw]
+    return reduce(DataFrame.unionByName, checks)
 
 
 def _with_gold(**kwargs):
     return lambda s, folder: rounded(
-        gold.build_features(star.sales_panel(s, folder), FIRST_YEAR, LAST_YEAR, **kwargs),
+        gold.build_features(star.sales_panel(s, folder), *training_years(s, folder), **kwargs),
         *SPREADS,
     )
 

@@ -6,18 +6,21 @@ in SQL.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from stocktide.catalog.feature_queries import FIRST_YEAR, LAST_YEAR
+from stocktide.catalog.feature_queries import panel_days, training_years
 from stocktide.catalog.panel_queries import ONE_SERIES, rounded
+from stocktide.config import HORIZON
 from stocktide.functions import columns as C
-from stocktide.operators import features, hierarchy, scoring
+from stocktide.operators import features, hierarchy, quality, scoring
 from stocktide.operators.joins import join_checked
 from stocktide.plans import baselines, errors, reports, validation
 from stocktide.plans.gold import in_years
-from stocktide.session import cut_lineage
+from stocktide.session import cut_lineage, shared_folder
 from stocktide.sources import star_schema as star
-from stocktide.sources.tables import load_window
+from stocktide.sources import tables
 
 BY_FOLD = ["fold"]
 # Five folds reach back to July, so the windows hold an event day.
@@ -27,7 +30,7 @@ EVENT_FOLDS = 5
 def history(spark, folder):
     """Priced rows of the training years, stored once because scoring reads them many times."""
     rows = features.priced_rows(star.sales_panel(spark, folder))
-    return cut_lineage(in_years(rows, FIRST_YEAR, LAST_YEAR))
+    return cut_lineage(in_years(rows, *training_years(spark, folder)))
 
 
 def fold_frames(rows, n_folds=3):
@@ -131,17 +134,36 @@ def _holdout_rows(spark, folder):
     return facts.withColumns({c: other.select(c).scalar() for c in other.columns})
 
 
+def new_folder(spark, kind):
+    return f"{shared_folder(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
 def _load_window(spark, folder):
-    panel = star.sales_panel(spark, folder)
-    return load_window(
-        panel,
-        2471,
+    """The stored panel up to the end of the last test window but one."""
+    path = new_folder(spark, "panels")
+    tables.write_panel(star.sales_panel(spark, folder), path)
+    first_year, _ = training_years(spark, folder)
+    return tables.load_window(
+        tables.read_panel(spark, path),
+        panel_days(spark, folder)[0] - 2 * HORIZON,
         include_test=True,
-        filters=[F.col("year") >= FIRST_YEAR, F.col("sell_price").isNotNull()],
+        filters=[F.col("year") >= first_year, F.col("sell_price").isNotNull()],
         columns=["item_id", "store_id", "d", "sales", "sell_price"],
     )
 
 
+def fold_forecasts(spark, folder):
+    columns = ["fold", "item_id", "store_id", "date", "sales", "prediction"]
+    found = baselines.seasonal_forecast(*fold_frames(history(spark, folder)), BY_FOLD)
+    return found.select(*columns)
+
+
+def _stored_predictions(spark, folder):
+    path = new_folder(spark, "predictions")
+    tables.write_predictions(fold_forecasts(spark, folder), path)
+    return spark.read.parquet(path)
+
+
 def _ensemble(spark, folder):
     keys = ["item_id", "store_id", "date"]
     train, valid = split(spark, folder)
@@ -197,6 +219,10 @@ def queries():
         "fold_rows": _fold_rows,
         "holdout_rows": _holdout_rows,
         "load_window": _load_window,
+        "stored_predictions": _stored_predictions,
+        "forecast_duplicates": lambda s, f: quality.duplicate_rows(
+            fold_forecasts(s, f), ["fold", "item_id", "store_id", "date"]
+        ),
         "naive_forecast": lambda s, f: naive(s, f).select(
             "item_id", "store_id", "date", "sales", "prediction"
         ),

@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from stocktide.catalog.feature_queries import FIRST_YEAR, LAST_YEAR
+from stocktide.catalog.feature_queries import training_years
 from stocktide.config import GLOBAL_TREES, STORE_TREES
 from stocktide.plans import gold, models, reports, validation
 from stocktide.session import cut_lineage, shared_folder
@@ -26,7 +26,7 @@ SEEDS = (1, 2)
 def feature_rows(spark, folder):
     """The feature table of the training years, stored: every fit reads it again."""
     panel = star.sales_panel(spark, folder)
-    return cut_lineage(gold.build_features(panel, FIRST_YEAR, LAST_YEAR))
+    return cut_lineage(gold.build_features(panel, *training_years(spark, folder)))
 
 
 def split(spark, folder):

@@ -43,15 +43,6 @@ def with_launch_date(panel: DataFrame) -> DataFrame:
     return panel.withColumn("launch_date", F.min("date").over(series()))
 
 
-def small_side(aggregate: DataFrame) -> DataFrame:
-    """Mark an aggregate with one row per key as the build side of a shuffled hash join.
-
-    It holds far fewer rows than the panel and no repeated key, so its hash partitions are small
-    and even, and the panel is not sorted for the join.
-    """
-    return aggregate.hint("shuffle_hash")
-
-
 def calendar_features(panel: DataFrame) -> DataFrame:
     return panel.withColumns(
         {
@@ -226,6 +217,14 @@ def own_price_features(panel: DataFrame) -> DataFrame:
     )
 
 
+def exact_price() -> Column:
+    """Price as an exact amount: sums of it do not depend on the order of the rows.
+
+    So means that lie on a rounding boundary come out alike in every run.
+    """
+    return F.col("sell_price").try_cast("decimal(18,4)")
+
+
 def price_features(panel: DataFrame) -> DataFrame:
     """Own price features and the price against the department's mean of the week.
 
@@ -233,12 +232,13 @@ def price_features(panel: DataFrame) -> DataFrame:
     combine) and joined back instead of being windowed in one task.
     """
     keys = ["store_id", "dept_id", "wm_yr_wk"]
-    dept = panel.groupBy(*keys).agg(F.avg("sell_price").alias("_dept_price"))
+    mean = F.try_divide(F.sum(exact_price()).cast("double"), F.count(exact_price()).cast("double"))
+    dept = panel.groupBy(*keys).agg(mean.alias("_dept_price"))
     return (
         own_price_features(panel)
         .drop("launch_date")
         .withColumn("price_weekly_change", _price_ratio(F.lag("sell_price", 7).over(by_day())))
-        .join(small_side(dept), keys, "left")
+        .join(dept, keys, "left")
         .withColumn("price_vs_dept", _price_ratio(F.col("_dept_price")))
         .drop("_dept_price")
     )
@@ -275,7 +275,7 @@ def store_dept_features(panel: DataFrame, horizon: int = HORIZON) -> DataFrame:
     rolled = daily.select(
         "store_id", "dept_id", "d", store_dept_rolling(horizon).alias("store_dept_rolling_avg")
     )
-    return panel.join(small_side(rolled), ["store_id", "dept_id", "d"], "left")
+    return panel.join(rolled, ["store_id", "dept_id", "d"], "left")
 
 
 CELL = ("store_id", "dept_id")
@@ -310,14 +310,16 @@ def cell_table(panel: DataFrame, horizon: int = HORIZON) -> DataFrame:
             F.count("sales").alias("_n"),
             F.sum(units).alias("_s"),
             F.sum(units * units).alias("_q"),
-            F.sum("sell_price").alias("_p"),
-            F.count("sell_price").alias("_pn"),
+            F.sum(exact_price()).alias("_p"),
+            F.count(exact_price()).alias("_pn"),
         )
         .repartition("store_id")
     )
     week = Window.partitionBy(*CELL, "wm_yr_wk")
     new = {
-        "_dept_price": F.try_divide(F.sum("_p").over(week), F.sum("_pn").over(week).cast("double")),
+        "_dept_price": F.try_divide(
+            F.sum("_p").over(week).cast("double"), F.sum("_pn").over(week).cast("double")
+        ),
         "store_dept_rolling_avg": store_dept_rolling(horizon),
     }
     for name in ("store_dept", "store_cat", "store"):
@@ -342,16 +344,16 @@ def encoding_features(panel: DataFrame, horizon: int = HORIZON) -> DataFrame:
     cells = cell_table(panel, horizon).drop("store_dept_rolling_avg", "_dept_price")
     return (
         own_encodings(panel, horizon)
-        .join(small_side(cells), [*CELL, "d"], "left")
-        .join(small_side(item_table(panel, horizon)), ["item_id", "d"], "left")
+        .join(cells, [*CELL, "d"], "left")
+        .join(item_table(panel, horizon), ["item_id", "d"], "left")
     )
 
 
 def group_features(features: DataFrame, panel: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """Attach all features shared by several series: two joins, by cell and by item."""
     return (
-        features.join(small_side(cell_table(panel, horizon)), [*CELL, "d"], "left")
-        .join(small_side(item_table(panel, horizon)), ["item_id", "d"], "left")
+        features.join(cell_table(panel, horizon), [*CELL, "d"], "left")
+        .join(item_table(panel, horizon), ["item_id", "d"], "left")
         .withColumn("price_vs_dept", _price_ratio(F.col("_dept_price")))
         .drop("_dept_price")
     )

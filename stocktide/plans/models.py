@@ -223,7 +223,7 @@ def cross_validate(
             fit_predict(train, valid, names, make)[1].withColumn("model", F.lit(name))
             for name, (names, make) in variants.items()
         ]
-        scores.append(score_variants(train, stack(parts), "model", fold.folds))
+        scores.append(score_variants(train, cut_lineage(stack(parts)), "model", fold.folds))
     return cut_lineage(stack(scores))
 
 
