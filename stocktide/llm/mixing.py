@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from stocktide.llm.common import bind, packed, row_key, text_or_empty, unpacked, words_of
 from stocktide.operators.ranking import with_row_number
-from stocktide.session import cut_lineage
+from stocktide.session import cut_lineage, released_tables
 
 WEIGHTS = (1, 2, 3)
 #: No source is repeated more often than this.
@@ -236,15 +236,18 @@ def mix(documents: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0)
     columns = documents.columns
     rows = packed(documents)
     key = row_key(F.col("row.doc_id").cast("long"), F.col("row.source").cast("string"), text_or_empty("row.text"))
-    chosen = copies(documents, weights, most, seed)
-    per_key = chosen.groupBy("key").agg(F.sum("copies").alias("total"), F.count("*").alias("times"))
+    with released_tables(documents.sparkSession):
+        chosen = copies(documents, weights, most, seed)
+        per_key = chosen.groupBy("key").agg(F.sum("copies").alias("total"), F.count("*").alias("times"))
+        per_key = cut_lineage(per_key.where("total > 0"), keep=True)
     # Rows of equal content split their copies: each takes a share, those that the share leaves over
     # go to the rows whose hash of all columns is smallest, which for fully equal rows is the same.
-    once = per_key.where("times = 1 AND total > 0")
+    once, repeated = per_key.where("times = 1"), per_key.where("times > 1")
     keyed = rows.withColumn("key", key)
     plain = keyed.join(once, "key").withColumn("no", F.explode(F.sequence(F.lit(1).cast("long"), "total")))
-    shared = keyed.join(per_key.where("times > 1"), "key")
-    spread = _spread(shared)
+    if repeated.isEmpty():
+        return unpacked(plain.select("row"), columns)
+    spread = _spread(keyed.join(repeated, "key"))
     return unpacked(plain.select("row").unionByName(spread.select("row")), columns)
 
 
