@@ -8,8 +8,9 @@ stands in two places has a fingerprint in common, whatever surrounds it, and not
 
 Fingerprints meet by hash. Each later place is compared with the first one: the match is extended line
 by line to both sides, as far as the lines carried along reach (`RUN` words before, and as many after the gram);
-longer runs are covered by the next fingerprints, which are never further apart. The lines of the match are
-deleted at the later place, so the first place of every text stays.
+longer runs are covered by the next fingerprints, which are never further apart. Where that first place lacks
+part of a run of `RUN` words around the gram, the later places meet once more, by the hash of the whole run. The
+lines of the match are deleted at the later place, so the first place of every text stays.
 
 A fingerprint in a third of all documents is one row per place: the first place is found by an
 aggregate that combines before the shuffle, and the join back is one that adaptive execution splits.
@@ -52,7 +53,7 @@ def fingerprints(documents: DataFrame, run: int = RUN, noise: int = NOISE) -> Da
     placed = once.withColumn("s", F.coalesce(F.sum("w").over(before), F.lit(0)).cast("long"))
     by_word = doc.orderBy("s")
     gram = by_word.rangeBetween(0, noise - 1)
-    here = F.struct("h", "pos")
+    here = F.struct("h", "pos", "s")
     grams = placed.withColumns(
         {
             "gram": F.xxhash64(F.collect_list("h").over(gram)),
@@ -76,20 +77,54 @@ def _alike(mine: Column, first: Column) -> Column:
     return F.when(end > 0, end - 1).otherwise(F.size(mine)).cast("int")
 
 
+def _uncovered(run: int, noise: int) -> Column:
+    """Hashes of the runs of `run` words around a gram that its match with the first place does not hold whole."""
+    start = F.get("right", F.lit(0))["s"]
+
+    def hashes(lines: Column) -> Column:
+        return F.transform(lines, lambda x: x["h"])
+
+    def stretch(i: Column) -> Column:
+        begin = F.when(i > 0, F.get("left", i - 1)["s"]).otherwise(start)
+        after = F.filter("right", lambda x: x["s"] < begin + run)
+        content = F.xxhash64(i, hashes(F.slice("left", F.lit(1), i)), hashes(after))
+        return F.struct((start - begin).alias("d"), i.alias("i"), F.size(after).alias("n"), content.alias("h"))
+
+    def wanted(x: Column) -> Column:
+        return (x["d"] <= run - noise) & ((x["i"] > F.col("same_left")) | (x["n"] > F.col("same_right")))
+
+    stretches = F.transform(F.sequence(F.lit(0), F.size("left")), stretch)
+    return F.transform(F.filter(stretches, wanted), lambda x: x["h"])
+
+
+def _met(places: DataFrame, keys: list[str]) -> DataFrame:
+    """Later places of the same keys with the number of lines, `same_left` and `same_right`, that the first place has too."""
+    place = F.struct("doc_id", "key", "pos")
+    firsts = places.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.min(F.struct(place.alias("place"), "left", "right")).alias("first")
+    )
+    firsts = cut_lineage(firsts.where("n > 1"))
+    later = places.join(firsts, keys).where(~place.eqNullSafe(F.col("first.place")))
+    return later.select(
+        "gram", "n", "doc_id", "key", "pos", "left", "right",
+        _alike(F.col("left"), F.col("first.left")).alias("same_left"),
+        _alike(F.col("right"), F.col("first.right")).alias("same_right"),
+    )
+
+
 def repeated_lines(documents: DataFrame, run: int = RUN, noise: int = NOISE) -> DataFrame:
     """`key` of a document and the sorted positions `lines` that repeat an earlier place."""
     found = cut_lineage(fingerprints(documents, run, noise))
-    place = F.struct("doc_id", "key", "pos")
-    firsts = found.groupBy("gram").agg(
-        F.count("*").alias("n"), F.min(F.struct(place.alias("place"), "left", "right")).alias("first")
+    met = cut_lineage(_met(found, ["gram"]))
+    # The first place of a gram may lack what later ones share around it: those meet by the whole run.
+    apart = met.where("n > 2").select(
+        "gram", F.explode(_uncovered(run, noise)).alias("stretch"), "doc_id", "key", "pos", "left", "right"
     )
-    firsts = cut_lineage(firsts.where("n > 1").select("gram", "first"))
-    met = found.join(firsts, "gram").where(~place.eqNullSafe(F.col("first.place")))
+    matches = met.unionByName(_met(cut_lineage(apart), ["gram", "stretch"]))
     deleted = F.concat(
-        F.slice("left", F.lit(1), _alike(F.col("left"), F.col("first.left"))),
-        F.slice("right", F.lit(1), _alike(F.col("right"), F.col("first.right"))),
+        F.slice("left", F.lit(1), F.col("same_left")), F.slice("right", F.lit(1), F.col("same_right"))
     )
-    marks = met.select("key", F.explode(deleted["pos"]).alias("pos")).distinct()
+    marks = matches.select("key", F.explode(deleted["pos"]).alias("pos")).distinct()
     return marks.groupBy("key").agg(F.sort_array(F.collect_list("pos")).alias("lines"))
 
 

@@ -110,6 +110,23 @@ def test_runs_of_short_lines(spark):
     assert found[3] == rows[2][1]  # runs of 21 words are too short
 
 
+def test_runs_whose_middle_stands_earlier_alone(spark):
+    def line(k, part, n):
+        return " ".join(f"{part}{k}n{i}" for i in range(n))
+
+    rows, expected = [], {}
+    for k in range(8):
+        before, middle, after = line(k, "b", 13), line(k, "m", 25), line(k, "a", 13)
+        rows += [
+            (3 * k, f"alone {k}\n{middle}"), (3 * k + 1, "\n".join([before, middle, after])),
+            (3 * k + 2, "\n".join([f"other {k}", before, middle, after, f"end {k}"])),
+        ]
+        expected[3 * k], expected[3 * k + 2] = rows[-3][1], f"other {k}\nend {k}"
+    found = {r.doc_id: r.text for r in line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: found[i] for i in expected} == expected
+    assert all(found[3 * k + 1].startswith(f"b{k}n0 ") for k in range(8))
+
+
 def test_line_dedup_drops_emptied_documents(documents):
     found = line_dedup.cleaned(documents)
     assert found.columns == documents.columns
