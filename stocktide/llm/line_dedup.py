@@ -132,7 +132,8 @@ def deduplicated(documents: DataFrame, run: int = RUN, noise: int = NOISE) -> Da
     """All rows as struct `row`, with `text` as it is left, `n_lines`, `n_removed` and `emptied`."""
     marks = cut_lineage(repeated_lines(documents.select("doc_id", "text"), run, noise))
     rows = packed(documents).withColumn("key", _key("row."))
-    joined = rows.join(marks, "key", "left")
+    # Marks grow with the rows: one plan at every size, which spills and splits hot keys, and no broadcast of them.
+    joined = rows.join(marks.hint("merge"), "key", "left")
     lines = F.split(F.col("row.text").cast("string"), "\n")
     kept = F.array_except(F.transform(lines, lambda _, i: i), F.col("lines"))
     left = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
