@@ -7,10 +7,11 @@ stands in two places has a fingerprint in common, whatever surrounds it, and not
 `NOISE` words is ever matched.
 
 Fingerprints meet by hash. Each later place is compared with the first one: the match is extended line
-by line to both sides, as far as the lines carried along reach (`RUN` words before, and as many after the gram);
-longer runs are covered by the next fingerprints, which are never further apart. Where that first place lacks
-part of a run of `RUN` words around the gram, the later places meet once more, by the hash of the whole run. The
-lines of the match are deleted at the later place, so the first place of every text stays.
+by line to both sides, as far as the lines carried along reach: `RUN` words before the gram, and as many after the
+end of its first line. A run that goes on further has a later fingerprint within that reach, however long its lines are. Where
+that first place lacks part of a run of `RUN` words or more around the gram, the later places meet once more, by the
+hash of the whole run, for each line that it can end with. The lines of the match are deleted at the later place, so
+the first place of every text stays.
 
 A fingerprint in a third of all documents is one row per place: the first place is found by an
 aggregate that combines before the shuffle, and the join back is one that adaptive execution splits.
@@ -50,16 +51,23 @@ def fingerprints(documents: DataFrame, run: int = RUN, noise: int = NOISE) -> Da
     once = lines.groupBy("key", "pos").agg(F.first("doc_id").alias("doc_id"), F.first("h").alias("h"), F.first("w").alias("w"))
     doc = Window.partitionBy("key")
     before = doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    placed = once.withColumn("s", F.coalesce(F.sum("w").over(before), F.lit(0)).cast("long"))
-    by_word = doc.orderBy("s")
+    # Frames count a line as `longest` words at most. Those of grams and of their choice are too short for that to matter;
+    # those to both sides reach past a long line as past a short one.
+    longest = max(noise, run - noise + 1)
+
+    def words_before(w: Column) -> Column:
+        return F.coalesce(F.sum(w).over(before), F.lit(0)).cast("long")
+
+    placed = once.withColumns({"s": words_before(F.col("w")), "c": words_before(F.least("w", F.lit(longest)))})
+    by_word = doc.orderBy("c")
     gram = by_word.rangeBetween(0, noise - 1)
-    here = F.struct("h", "pos", "s")
+    here = F.struct("h", "pos", "s", "w")
     grams = placed.withColumns(
         {
             "gram": F.xxhash64(F.collect_list("h").over(gram)),
             "words": F.sum("w").over(gram),
             "left": F.collect_list(here).over(by_word.rangeBetween(-run, -1)),
-            "right": F.collect_list(here).over(by_word.rangeBetween(0, run + noise)),
+            "right": F.collect_list(here).over(by_word.rangeBetween(0, run + longest - 1)),
         }
     ).where(F.col("words") >= noise)
     least = F.min(F.struct("gram", "pos")).over(by_word.rangeBetween(0, run - noise))
@@ -78,23 +86,34 @@ def _alike(mine: Column, first: Column) -> Column:
 
 
 def _uncovered(run: int, noise: int) -> Column:
-    """Hashes of the runs of `run` words around a gram that its match with the first place does not hold whole."""
+    """Hashes of the runs of `run` words or more around a gram that its match with the first place does not hold whole.
+
+    A run is found by its last line that starts `run` words before its end or earlier, so it ends less than
+    `run` words after that line; of those that end later, the shortest is enough."""
     start = F.get("right", F.lit(0))["s"]
 
-    def hashes(lines: Column) -> Column:
-        return F.transform(lines, lambda x: x["h"])
+    def stretches(i: Column) -> Column:
+        line = F.when(i > 0, F.get("left", i - 1)).otherwise(F.get("right", F.lit(0)))
+
+        def ends(x: Column) -> Column:
+            """Numbers of lines of `right` that a run from line `x` on can have."""
+            full, last = x["s"] + run, x["s"] + x["w"] + run
+            numbered = F.transform("right", lambda r, j: F.struct((j + 1).alias("n"), r["s"].alias("s"), (r["s"] + r["w"]).alias("e")))
+            found = F.filter(numbered, lambda r: (r["e"] >= full) & ((r["s"] < full) | (r["e"] < last)))
+            # At the end of a text there are fewer words.
+            return F.when(F.size(found) > 0, found["n"]).otherwise(F.array(F.size("right")))
+
+        def content(n: Column) -> Column:
+            lines = F.concat(F.slice("left", F.lit(1), i), F.slice("right", F.lit(1), n))
+            return F.xxhash64(i, F.transform(lines, lambda r: r["h"]))
 
-    def stretch(i: Column) -> Column:
-        begin = F.when(i > 0, F.get("left", i - 1)["s"]).otherwise(start)
-        after = F.filter("right", lambda x: x["s"] < begin + run)
-        content = F.xxhash64(i, hashes(F.slice("left", F.lit(1), i)), hashes(after))
-        return F.struct((start - begin).alias("d"), i.alias("i"), F.size(after).alias("n"), content.alias("h"))
+        def missing(x: Column) -> Column:
+            return F.filter(ends(x), lambda n: (i > F.col("same_left")) | (n > F.col("same_right")))
 
-    def wanted(x: Column) -> Column:
-        return (x["d"] <= run - noise) & ((x["i"] > F.col("same_left")) | (x["n"] > F.col("same_right")))
+        near = F.filter(F.array(line), lambda x: start - x["s"] <= run - noise)
+        return F.flatten(F.transform(near, lambda x: F.transform(missing(x), content)))
 
-    stretches = F.transform(F.sequence(F.lit(0), F.size("left")), stretch)
-    return F.transform(F.filter(stretches, wanted), lambda x: x["h"])
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size("left")), stretches))
 
 
 def _met(places: DataFrame, keys: list[str]) -> DataFrame:

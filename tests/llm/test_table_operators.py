@@ -127,6 +127,31 @@ def test_runs_whose_middle_stands_earlier_alone(spark):
     assert all(found[3 * k + 1].startswith(f"b{k}n0 ") for k in range(8))
 
 
+def test_runs_that_end_behind_a_long_line(spark):
+    def text(k, *sizes):
+        return [" ".join(f"{k}l{n}w{i}" for i in range(size)) for n, size in enumerate(sizes)]
+
+    rows, expected = [], {}
+
+    def add(lines, left=None):
+        rows.append((len(rows), "\n".join(lines)))
+        expected[len(rows) - 1] = rows[-1][1] if left is None else "\n".join(left)
+
+    for k, sizes in enumerate([(77, 2), (100, 8), (9, 100, 8), (3, 60, 24, 24, 1), (100, 20, 20, 9, 100, 1)]):
+        whole = text(f"copy{k}", *sizes)
+        add(whole)
+        add(whole, [])
+        add([f"other {k}", *whole, f"end {k}"], [f"other {k}", f"end {k}"])
+    for k, sizes in enumerate([(100, 8), (100, 20, 20, 9, 100, 1), (13, 80, 7, 5)]):
+        whole = text(f"alone{k}", *sizes)
+        long = max(whole, key=len)
+        add([f"alone {k}", long])
+        add([f"held {k}", *whole], [f"held {k}", *[x for x in whole if x != long]])
+        add([f"again {k}", *whole, f"end {k}"], [f"again {k}", f"end {k}"])
+    found = {r.doc_id: r.text for r in line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == expected
+
+
 def test_line_dedup_drops_emptied_documents(documents):
     found = line_dedup.cleaned(documents)
     assert found.columns == documents.columns
