@@ -1,6 +1,6 @@
 """Registered queries that fit models. They have no SQL equivalent and are checked by rows.
 
-Tree counts are small here; the library defaults are the published ones.
+Trees, grid, folds, seeds and search take the settings of `config`, as the library does.
 """
 
 from __future__ import annotations
@@ -10,17 +10,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from stocktide.catalog.feature_queries import training_years
-from stocktide.config import GLOBAL_TREES, STORE_TREES
+from stocktide.config import GLOBAL_TREES, N_FOLDS, N_TRIALS, SEARCH_ROUNDS, SEEDS, STORE_TREES, TREE_GRID
 from stocktide.plans import gold, models, reports, validation
 from stocktide.session import cut_lineage, shared_folder
 from stocktide.sources import star_schema as star
 
-TREES = 5
-GRID = (1, 3, 5)
-SMALL_TREES = {**GLOBAL_TREES, "num_leaves": 16, "max_bin": 31, "learning_rate": 0.3}
-STORE_TREE_COUNT = 2
-SMALL_STORE_TREES = {**STORE_TREES, "num_leaves": 8, "max_bin": 31, "learning_rate": 0.3}
-SEEDS = (1, 2)
+FOLDS = list(range(1, N_FOLDS + 1))
 
 
 def feature_rows(spark, folder):
@@ -34,11 +29,11 @@ def split(spark, folder):
 
 
 def trees(names, **kwargs):
-    return models.tree_pipeline(names, SMALL_TREES, TREES, **kwargs)
+    return models.tree_pipeline(names, GLOBAL_TREES, **kwargs)
 
 
 def store_trees(names):
-    return models.tree_pipeline(names, SMALL_STORE_TREES, STORE_TREE_COUNT)
+    return models.tree_pipeline(names, STORE_TREES)
 
 
 def _glm_forecast(spark, folder):
@@ -55,7 +50,7 @@ def _store_models(spark, folder):
 
 def _store_folds(spark, folder):
     rows = feature_rows(spark, folder)
-    folds = validation.folds_of(rows, 2)
+    folds = validation.folds_of(rows)
     found = models.store_out_of_fold(rows, folds, models.default_features(), store_trees)
     return found.groupBy("fold", "store_id").agg(
         F.count("*").alias("rows"), F.sum("prediction").alias("predicted_units")
@@ -64,9 +59,9 @@ def _store_folds(spark, folder):
 
 def _tree_grid(spark, folder):
     rows = feature_rows(spark, folder)
-    folds = validation.folds_of(rows, 2)
-    scores = models.tree_count_scores(rows, folds, GRID, params=SMALL_TREES)
-    return reports.tree_report(scores, [1, 2])
+    folds = validation.folds_of(rows)
+    scores = models.tree_count_scores(rows, folds, TREE_GRID)
+    return reports.tree_report(scores, FOLDS)
 
 
 def _best_trees(spark, folder):
@@ -75,9 +70,9 @@ def _best_trees(spark, folder):
 
 def _group_drop(spark, folder):
     rows = feature_rows(spark, folder)
-    folds = validation.folds_of(rows, 1)
+    folds = validation.folds_of(rows)
     scores = models.cross_validate(rows, folds, models.group_drop_variants())
-    return reports.cv_report(scores, [1])
+    return reports.cv_report(scores, FOLDS)
 
 
 def _ensemble(spark, folder):
@@ -90,16 +85,16 @@ def _ensemble(spark, folder):
 
 def _search(spark, folder):
     rows = feature_rows(spark, folder)
-    folds = validation.folds_of(rows, 1)
+    folds = validation.folds_of(rows)
     return models.random_search(
-        rows, folds, models.default_features(), 2, TREES, start=SMALL_TREES, seeds=SEEDS
+        rows, folds, models.default_features(), N_TRIALS, SEARCH_ROUNDS, seeds=SEEDS
     )
 
 
 def _early_stopping(spark, folder):
     train, test = split(spark, folder)
     per_seed, counts = models.early_stopped(
-        train, test, models.default_features(), SMALL_TREES, TREES, SEEDS
+        train, test, models.default_features(), GLOBAL_TREES, SEARCH_ROUNDS, SEEDS
     )
     means = models.seed_mean(train, cut_lineage(per_seed), counts)
     return spark.createDataFrame([(means["wrmsse"], means["trees"])], "wrmsse double, trees int")

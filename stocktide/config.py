@@ -134,6 +134,11 @@ STORE_TREES = {
 TREE_GRID = (100, 200, 300, 400, 500, 750, 1000, 1500, 2000)
 STORE_TREE_GRID = (50, 100, 150, 200, 250, 300, 400)
 
+# Seeds, boosting rounds at most and trials of the search. Trials are more than its pruning rule waits for.
+SEEDS = (1, 2, 3)
+SEARCH_ROUNDS = 3000
+N_TRIALS = 30
+
 # Search ranges (low, high, log scale).
 SEARCH_SPACE = {
     "num_leaves": (31, 255, True),

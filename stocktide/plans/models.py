@@ -15,10 +15,10 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,24 +165,27 @@ def fit_predict(
     return model, predict(model, prepare(valid, names))
 
 
+def first_trees(boosted: GBTRegressionModel, n: int, name: str = "prediction") -> GBTRegressionModel:
+    """The model of the first n trees, or of all where boosting has stopped before."""
+    gateway = SparkContext._active_spark_context._gateway
+    package, java = gateway.jvm.org.apache.spark.ml.regression, boosted._java_obj
+    n = min(n, boosted.getNumTrees)
+    trees, weights = java.trees(), java.treeWeights()
+    some = gateway.new_array(package.DecisionTreeRegressionModel, n)
+    shares = gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        some[i], shares[i] = trees[i], weights[i]
+    prefix = GBTRegressionModel(package.GBTRegressionModel(f"{boosted.uid}_{n}", some, shares))
+    return prefix.setFeaturesCol(FEATURES_COLUMN).setPredictionCol(name)
+
+
 def with_tree_counts(model: PipelineModel, rows: DataFrame, grid: Sequence[int]) -> DataFrame:
     """Forecasts of the first n trees for every n of the grid, from one fitted model."""
     *stages, boosted = model.stages
     out = PipelineModel(stages=list(stages)).transform(rows)
-    largest = min(max(grid), boosted.getNumTrees)
-    running = F.lit(0.0)
-    columns = {}
-    for i, (tree, weight) in enumerate(zip(boosted.trees, boosted.treeWeights)):
-        if i >= largest:
-            break
-        out = tree.setPredictionCol(f"_tree_{i}").transform(out)
-        running = running + F.col(f"_tree_{i}") * float(weight)
-        if i + 1 in grid:
-            columns[f"pred_{i + 1}"] = F.greatest(running, F.lit(0.0))
     for n in grid:
-        # Boosting that stopped early has no more trees to add.
-        columns.setdefault(f"pred_{n}", F.greatest(running, F.lit(0.0)))
-    return out.select(*OUTPUT, *[columns[f"pred_{n}"].alias(f"pred_{n}") for n in grid])
+        out = first_trees(boosted, n, f"_first_{n}").transform(out)
+    return out.select(*OUTPUT, *[F.greatest(F.col(f"_first_{n}"), F.lit(0.0)).alias(f"pred_{n}") for n in grid])
 
 
 def long_predictions(wide: DataFrame, grid: Sequence[int], label: str = "trees") -> DataFrame:

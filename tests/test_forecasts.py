@@ -195,3 +195,43 @@ def test_store_models_and_ensemble(spark, model_rows):
     assert models.ensemble_scores(train, combined).count() == 3
     importance = models.feature_importance(spark, models.fit(make(NAMES), models.prepare(train, NAMES)))
     assert importance.agg(F.sum("gain_pct")).first()[0] == pytest.approx(100)
+
+
+def test_model_queries_take_the_settings(monkeypatch):
+    from datetime import date
+
+    from stocktide import config
+    from stocktide.catalog import model_queries as q
+    from stocktide.plans import models, reports, validation
+
+    seen = {}
+    windows = lambda rows, n=config.N_FOLDS: validation.make_folds(date(2015, 1, 1), date(2016, 12, 31), n)
+    monkeypatch.setattr(q, "feature_rows", lambda spark, folder: "rows")
+    monkeypatch.setattr(q, "split", lambda spark, folder: ("train", "test"))
+    monkeypatch.setattr(q, "cut_lineage", lambda df: df)
+    monkeypatch.setattr(validation, "folds_of", windows)
+    for name in ("tree_count_scores", "cross_validate", "random_search"):
+        monkeypatch.setattr(models, name, lambda *a, name=name, **k: seen.update({name: (a, k)}))
+    monkeypatch.setattr(models, "early_stopped", lambda *a: seen.update(early_stopped=(a, {})) or (None, None))
+    monkeypatch.setattr(models, "seed_mean", lambda *a: {"wrmsse": 0.0, "trees": 0})
+    monkeypatch.setattr(models, "group_drop_variants", lambda: {})
+    monkeypatch.setattr(models, "tree_pipeline", lambda names, params, *a: seen.setdefault("trees", []).append((params, a)))
+    for name in ("tree_report", "cv_report"):
+        monkeypatch.setattr(reports, name, lambda scores, folds, name=name: seen.update({name: folds}))
+
+    class Session:
+        def createDataFrame(self, rows, schema):
+            return rows
+
+    for name in ("tree_grid", "group_drop", "hyper_search", "early_stopping"):
+        q.queries()[name](Session(), "folder")
+    q.trees([])
+    q.store_trees([])
+    for name in ("tree_count_scores", "cross_validate", "random_search"):
+        assert [f.folds for f in seen[name][0][1]] == [1, 2, 3]
+    assert seen["tree_count_scores"][0][2] == config.TREE_GRID and not seen["tree_count_scores"][1]
+    assert seen["tree_report"] == seen["cv_report"] == [1, 2, 3]
+    assert seen["trees"] == [(config.GLOBAL_TREES, ()), (config.STORE_TREES, ())]
+    assert seen["random_search"][0][3:] == (config.N_TRIALS, 3000) and config.N_TRIALS > 10
+    assert seen["random_search"][1] == {"seeds": (1, 2, 3)}
+    assert seen["early_stopped"][0][3:] == (config.GLOBAL_TREES, 3000, (1, 2, 3))
