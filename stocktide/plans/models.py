@@ -40,6 +40,8 @@ from stocktide.session import cut_lineage
 KEYS = [*SERIES_KEYS, "date"]
 OUTPUT = ["item_id", "store_id", "cat_id", "dept_id", "state_id", "date", "sales", "sell_price"]
 FEATURES_COLUMN = "features"
+#: Rounds without a better error after which boosting counts as stopped.
+PATIENCE = 50
 MakePipeline = Callable[[Sequence[str]], Pipeline]
 
 
@@ -335,6 +337,17 @@ def with_stop_rows(train: DataFrame, days: int = HORIZON, name: str = "stop_row"
     return train.withColumn(name, F.col("date") > F.date_sub(last, days))
 
 
+def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
+    """Number of the round of the smallest error, once `patience` rounds in a row have not bettered it."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def early_stopped(
     train: DataFrame,
     valid: DataFrame,
@@ -342,15 +355,21 @@ def early_stopped(
     params: Mapping[str, float],
     max_trees: int,
     seeds: Sequence[int] = (1, 2, 3),
+    patience: int = PATIENCE,
 ) -> tuple[DataFrame, list[int]]:
-    """Forecasts per seed, each boosted until its own training tail stops improving."""
+    """Forecasts per seed by the trees up to the best round on the training tail.
+
+    All `max_trees` are fitted on the rows before the tail; their prefixes are scored on it.
+    """
     marked = prepare(with_stop_rows(train), names)
+    earlier, tail = marked.where("NOT stop_row"), marked.where("stop_row")
     target = prepare(valid, names)
     parts, counts = [], []
     for seed in seeds:
-        settings = {**params, "seed": seed}
-        model = fit(tree_pipeline(names, settings, max_trees, stop_column="stop_row"), marked)
-        counts.append(model.stages[-1].getNumTrees)
+        *stages, boosted = fit(tree_pipeline(names, {**params, "seed": seed}, max_trees), earlier).stages
+        held_out = PipelineModel(stages=stages).transform(tail).select("label", FEATURES_COLUMN)
+        counts.append(best_round(boosted.evaluateEachIteration(held_out, "squared"), patience))
+        model = PipelineModel(stages=[*stages, first_trees(boosted, counts[-1])])
         parts.append(predict(model, target).withColumn("seed", F.lit(seed)))
     return stack(parts), counts
 

@@ -235,3 +235,17 @@ def test_model_queries_take_the_settings(monkeypatch):
     assert seen["random_search"][0][3:] == (config.N_TRIALS, 3000) and config.N_TRIALS > 10
     assert seen["random_search"][1] == {"seeds": (1, 2, 3)}
     assert seen["early_stopped"][0][3:] == (config.GLOBAL_TREES, 3000, (1, 2, 3))
+
+
+def test_early_stopping_waits_for_a_later_best_round(model_rows):
+    errors = [5.0, 4.0, 4.5, 4.2, 3.0, *[3.1] * 50, 2.0]
+    assert models.best_round(errors) == 5 and models.best_round(errors, 1) == 2 and models.best_round([2.0]) == 1
+    assert models.best_round(errors, 60) == len(errors)
+    train, valid = model_rows
+    found, counts = models.early_stopped(train, valid, NAMES, SMALL, 4, (1, 2))
+    assert found.count() == 2 * valid.count() and all(1 <= n <= 4 for n in counts)
+    marked = models.prepare(models.with_stop_rows(train), NAMES)
+    model = models.fit(models.tree_pipeline(NAMES, SMALL, 4), marked.where("NOT stop_row"))
+    wide = models.with_tree_counts(model, marked.where("stop_row"), [1, 2, 3, 4])
+    errors = wide.agg(*[F.avg((F.col("sales") - F.col(f"pred_{n}")) ** 2) for n in (1, 2, 3, 4)]).first()
+    assert counts[0] == min(range(4), key=lambda k: errors[k]) + 1
