@@ -16,6 +16,9 @@ from stocktide.session import shared_folder
 #: Pseudo-random rounding and byte-pair encoding have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
+#: Words of a shingle in the near-dedup stage; the four words of `op8_near_dedup` are that query's own.
+SHINGLE = 5
+
 
 def keep_good(spark, docs, sf_dir):
     """Quality rules: rejected documents go, the others lose their failing lines."""
@@ -28,8 +31,8 @@ def drop_repeated_lines(spark, docs, sf_dir):
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """Near dedup: the document with the smallest id of each group stays."""
-    return near_dedup.deduplicated(docs)
+    """Near dedup by shingles of five words: the document with the smallest id of each group stays."""
+    return near_dedup.deduplicated(docs, SHINGLE)
 
 
 def mix_sources(spark, docs, sf_dir):

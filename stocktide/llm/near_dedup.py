@@ -221,19 +221,19 @@ def _classified(documents: DataFrame, width: int, per_cent: int) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.when(F.col("_real"), F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def report(documents: DataFrame) -> DataFrame:
+def report(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     """`classify` with `kept`: whether the row's id is its component's smallest."""
-    return classify(documents).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return classify(documents, width).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def deduplicated(documents: DataFrame) -> DataFrame:
-    """The documents that stay, one of each component, with all their columns.
+def deduplicated(documents: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents that stay, one of each component by shingles of `width` words, with all their columns.
 
     Rows without an id stay. Of rows with the same id and text one stays. Whole rows are joined with the ids that go
     or repeat, which are fewer than those that stay."""
     columns = documents.columns
     with released_tables(documents.sparkSession):
-        per_id = report(documents.select("doc_id", "text")).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
+        per_id = report(documents.select("doc_id", "text"), width).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
         marks = per_id.agg(F.max("kept").alias("stays"), F.count("*").alias("n")).where("NOT stays OR n > 1")
         marks = cut_lineage(marks, keep=True)
     rows = packed(documents).withColumn("id", F.col("row.doc_id").cast("long")).join(marks, "id", "left")

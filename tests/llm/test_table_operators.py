@@ -45,6 +45,16 @@ def test_near_dedup(documents, rows, odd, nothing):
     assert near_dedup.report(odd).count() == 4 and near_dedup.report(nothing).count() == 0
 
 
+def test_the_pipeline_takes_shingles_of_five_words(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(42)]
+    # 35 of 43 shingles of four words, but 33 of 43 of five.
+    docs = table(spark, [(1, " ".join(words), "s"), (2, " ".join(words[:20] + ["new"] + words[21:]), "s"), (3, " ".join(words), "s")])
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, None).collect()) == [1, 2]
+    assert [r.doc_id for r in near_dedup.deduplicated(docs).collect()] == [1]
+
+
 def test_a_group_around_the_limit(spark):
     """Many copies, some linked to few others only: what the rounds miss the blocks must find."""
     rows = [(1000 - i, edited(BASE, 50 + i, 1 + i % 6), "s") for i in range(150)]
