@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stocktide.llm import (
-    bpe, fingerprints, license_scan, line_dedup, mixing, near_dedup, preference, quality_rules, token_files, warc_store,
+    bpe, conversation_repair, fill_middle, fingerprints, license_scan, line_dedup, mixing, near_dedup, preference,
+    quality_rules, sharding, token_files, warc_store,
 )
 from stocktide.llm.common import table
 from stocktide.session import shared_folder
@@ -80,6 +81,9 @@ def queries():
         "op8_near_dedup": lambda s, f: near_dedup.report(table(s, f, "documents")),
         "op9_license_scan": lambda s, f: license_scan.scan(table(s, f, "documents")),
         "op10_mixing": _mix,
+        "op11_fill_middle": lambda s, f: fill_middle.digests(fill_middle.transformed(table(s, f, "documents"))),
+        "op12_hash_tree_shards": lambda s, f: sharding.assign(table(s, f, "documents")),
+        "op13_conversation_repair": lambda s, f: conversation_repair.report_of_damaged(table(s, f, "conversations")),
     }
 
 
