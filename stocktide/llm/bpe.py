@@ -26,7 +26,6 @@ from stocktide.llm.segments import SegmentEncoder
 #: Remembered pairs before the memo starts anew.
 MEMO_ENTRIES = 1_000_000
 NO_RANK = 1 << 40
-BUILT = ("tokens", "matcher", "split", "prefixes", "memo", "edges", "text", "spelled", "lengths", "starts")
 OUTPUT = "doc_id long, ids binary, decoded binary"
 #: Output rows are sent on when they hold this many bytes.
 BATCH_BYTES = 8 << 20
@@ -39,21 +38,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class BytePairCodec:
-    """Encoder and decoder of one vocabulary; what it builds is not pickled but built where used."""
+    """Encoder and decoder of one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern = ranks, pattern
-
-    def __getstate__(self):
-        return {"ranks": self.ranks, "pattern": self.pattern}
-
-    def __getattr__(self, name: str):
-        if name not in BUILT:
-            raise AttributeError(name)
         import ahocorasick
         import numpy as np
         import regex
 
+        self.ranks = ranks
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         by_rank = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
         self.spelled = np.frombuffer(b"".join(by_rank), "u1")
@@ -63,10 +55,8 @@ class BytePairCodec:
         for token, rank in self.ranks.items():
             self.matcher.add_word(token.decode("latin-1"), (len(token), rank))
         self.matcher.make_automaton()
-        self.split = regex.compile(self.pattern).findall
         self.prefixes, self.memo, self.edges = {}, {}, {}
-        self.text = SegmentEncoder(self.split, self._piece)
-        return self.__dict__[name]
+        self.text = SegmentEncoder(regex.compile(pattern).findall, self._piece)
 
     def merged(self, data: bytes, least: int = 1) -> list[bytes]:
         """Plain BPE: join the adjacent pair of lowest rank, the leftmost of equals, until none is left
@@ -193,11 +183,18 @@ class BytePairCodec:
         return self.spelled[places].tobytes()
 
 
+def built(given: dict) -> BytePairCodec:
+    """The codec of broadcast plain values, kept beside them: a worker builds it once and needs no library."""
+    if "codec" not in given:
+        given["codec"] = BytePairCodec(given["ranks"], given["pattern"])
+    return given["codec"]
+
+
 def _both_ways(shared):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        codec = shared.value
+        codec = built(shared.value)
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
         for batch in batches:
             rows, held = [], 0
@@ -220,8 +217,7 @@ def encode_documents(documents: DataFrame, ranks_path: str, pattern: str) -> Dat
     The vocabulary is read once on the driver and broadcast: a file of some hundred kilobytes whose
     size doesn't depend on the data. Workers keep the built codec and its caches between tasks.
     """
-    codec = BytePairCodec(read_ranks(ranks_path), pattern)
-    shared = documents.sparkSession.sparkContext.broadcast(codec)
+    shared = documents.sparkSession.sparkContext.broadcast({"ranks": read_ranks(ranks_path), "pattern": pattern})
     texts = documents.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     return texts.mapInArrow(_both_ways(shared), OUTPUT)
 
