@@ -9,7 +9,8 @@ all but a 10^-9 part of that chance.)
 
 What shares a key is decided exactly, on whole sets, without emitting all pairs of a key:
 
-1. Documents of equal sets are one class; only its smallest id goes on.
+1. Documents of equal sets are one class, known by a number of its own, as one id may stand on rows of several
+   texts; only its smallest id's text goes on.
 2. In two rounds every document meets one centre, of those that its keys point to the one it shares most
    keys with. Linked ones grow together to components.
 3. A shingle that no other candidate has can't be shared. Documents with too many of them
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from stocktide.llm.common import packed, row_key, ship, text_or_empty, unpacked
 from stocktide.llm.grams import WHITE, Hasher
-from stocktide.llm.sketches import SCHEMA, batches_of, shingle_sets, sketch_batches
+from stocktide.llm.sketches import SCHEMA, batches_of, set_hashes, shingle_sets, sketch_batches
 from stocktide.session import cut_lineage, released_tables
 
 WIDTH, PER_CENT = 4, 80
@@ -73,8 +74,11 @@ def _sets(width: int):
                 hashes, counts = shingle_sets(hasher, texts, width)
                 ends = np.concatenate(([0], np.cumsum(counts))).astype("i4")
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view("i8")))
+                # Every text here has words, so no set is empty.
+                a, b = set_hashes(hashes, ends[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(counts, pa.int64()), lists], names=["id", "n", "set"]
+                    [batch.column(0).slice(first, len(texts)), pa.array(a.view("i8")), pa.array(b.view("i8")), pa.array(counts, pa.int64()), lists],
+                    names=["doc_id", "set_a", "set_b", "n_shingles", "set"],
                 )
 
     return run
@@ -194,14 +198,18 @@ def _classified(documents: DataFrame, width: int, per_cent: int) -> DataFrame:
     sketched = cut_lineage(texts.mapInArrow(sketch_batches(width, CHUNKS * CHUNK), SCHEMA), keep=True)
     real = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["set_a", "set_b", "n_shingles"]
-    classes = cut_lineage(real.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), keep=True)
+    of_set = real.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
+    classes = cut_lineage(of_set.withColumn("id", F.monotonically_increasing_id()), keep=True)
 
-    keyed = classes.select(F.col("rep").alias("id"), F.explode(_keys(F.col("signature"))).alias("key"))
+    keyed = classes.select("id", F.explode(_keys(F.col("signature"))).alias("key"))
     several = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     shared = cut_lineage(keyed.join(several, "key").select("key", "id"))
-    candidates = cut_lineage(shared.select("id").distinct())
-    chosen = texts.join(candidates, texts["doc_id"] == candidates["id"], "left_semi").select("doc_id", "text")
-    sets = cut_lineage(chosen.mapInArrow(_sets(width), "id long, n long, set array<long>").dropDuplicates(["id"]))
+    candidates = cut_lineage(classes.join(shared.select("id").distinct(), "id").select("id", "rep", *same))
+    wanted = candidates.select(F.col("rep").alias("_rep")).distinct()
+    chosen = texts.join(wanted, texts["doc_id"] == wanted["_rep"], "left_semi").where(F.col("text").rlike(r"[^ \t-\r]"))
+    found = chosen.mapInArrow(_sets(width), "doc_id long, set_a long, set_b long, n_shingles long, set array<long>")
+    of_class = found.join(candidates.withColumnRenamed("rep", "doc_id"), ["doc_id", *same])
+    sets = cut_lineage(of_class.select("id", F.col("n_shingles").alias("n"), "set").dropDuplicates(["id"]))
     for _ in range(2):
         sets = _prune(sets, per_cent)
     shared = cut_lineage(shared.join(sets.select("id"), "id").select("key", "id"))
@@ -213,9 +221,11 @@ def _classified(documents: DataFrame, width: int, per_cent: int) -> DataFrame:
     more = cut_lineage(_rest(shared, sets, comps, per_cent))
     if not more.isEmpty():
         comps = components(links.unionByName(more))
-    comps = cut_lineage(comps, keep=True)
+    grouped = classes.join(comps, "id").select("id", "comp", "rep")
+    least = grouped.groupBy("comp").agg(F.min("rep").alias("least"))
+    named = cut_lineage(grouped.join(least, "comp").select("id", "least"), keep=True)
 
-    reps = classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(*same, F.coalesce("comp", "rep").alias("comp"))
+    reps = classes.join(named, "id", "left").select(*same, F.coalesce("least", "rep").alias("comp"))
     members = sketched.withColumn("_real", (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     found = members.join(reps, same, "left")
     return found.select("doc_id", "n_shingles", F.when(F.col("_real"), F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -9,7 +9,7 @@ from stocktide.llm.grams import WHITE, Hasher, mixed, sequences, within
 
 #: Texts of about this many bytes are sketched together.
 BATCH_BYTES = 1 << 20
-SCHEMA = "doc_id long, n_shingles long, set_a long, set_b long, signature binary, code long"
+SCHEMA = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
 
 
 def batches_of(column, size: int = BATCH_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -48,33 +48,37 @@ def shingle_sets(hasher: Hasher, texts: list[bytes], width: int):
     return hashes[new], np.bincount(owner[new], minlength=len(texts))
 
 
+def set_hashes(hashes, starts):
+    """Two 64-bit hashes of each set, whatever the order of its shingles; `hashes` lie set after set."""
+    import numpy as np
+
+    with np.errstate(over="ignore"):
+        return np.add.reduceat(hashes, starts), np.bitwise_xor.reduceat(mixed(hashes + np.uint64(1)), starts)
+
+
 class Sketcher:
     def __init__(self, width: int, symbols: int):
         self.width, self.symbols = width, symbols
         self.hasher = Hasher(WHITE)
 
     def __call__(self, texts: list[bytes]):
-        """Per text the set's size, two set hashes, the 16-bit symbols and one bit of each of 64 minima."""
+        """Per text the set's size, two set hashes and the 16-bit symbols."""
         import numpy as np
 
         hashes, counts = shingle_sets(self.hasher, texts, self.width)
         n, k = len(texts), self.symbols
         some = np.flatnonzero(counts)
         set_a, set_b = np.zeros(n, "u8"), np.zeros(n, "u8")
-        signature, code = np.zeros((n, k), "<u2"), np.zeros(n, "u8")
+        signature = np.zeros((n, k), "<u2")
         if len(some):
             starts = (np.cumsum(counts) - counts)[some]
             with np.errstate(over="ignore"):
-                set_a[some] = np.add.reduceat(hashes, starts)
-                set_b[some] = np.bitwise_xor.reduceat(mixed(hashes + np.uint64(1)), starts)
+                set_a[some], set_b[some] = set_hashes(hashes, starts)
                 keys = np.random.default_rng(7).integers(1, 1 << 63, (2, k), dtype=np.uint64)
                 for i in range(k):
                     least = np.minimum.reduceat((hashes ^ keys[0, i]) * (keys[1, i] | np.uint64(1)), starts)
-                    least = mixed(least)
-                    signature[some, i] = (least >> np.uint64(48)).astype("u2")
-                    if i < 64:
-                        code[some] |= (least & np.uint64(1)) << np.uint64(i)
-        return counts, set_a, set_b, signature, code
+                    signature[some, i] = (mixed(least) >> np.uint64(48)).astype("u2")
+        return counts, set_a, set_b, signature
 
 
 def sketch_batches(width: int, symbols: int):
@@ -84,12 +88,12 @@ def sketch_batches(width: int, symbols: int):
         sketcher = Sketcher(width, symbols)
         for batch in batches:
             for first, texts in batches_of(batch.column(1)):
-                counts, a, b, signature, code = sketcher(texts)
+                counts, a, b, signature = sketcher(texts)
                 rows = [signature[i].tobytes() for i in range(len(texts))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), pa.array(counts, pa.int64()), pa.array(a.view("i8")),
-                     pa.array(b.view("i8")), pa.array(rows, pa.binary()), pa.array(code.view("i8"))],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "signature", "code"],
+                     pa.array(b.view("i8")), pa.array(rows, pa.binary())],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "signature"],
                 )
 
     return run
