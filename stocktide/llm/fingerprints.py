@@ -5,13 +5,13 @@ without a mark); its vector is the sum of what its hashes spell. The fingerprint
 of its paragraphs' vectors, every entry modulo a power of two:
 
 * 8 wide entries modulo 2^32, sums of uniform hash halves: they decide equality;
-* 120 narrow entries modulo 2^20, sums of single hash bits: seen as +1 and -1 they are a random
+* 120 narrow entries modulo 2^30, sums of single hash bits: seen as +1 and -1 they are a random
   projection, so the squared distance of two fingerprints estimates in how many hashed units
   the texts differ. The likeness is 1 less that over what it would be if they shared none.
 
 Sums don't depend on the order of paragraphs, and `add` and `remove` update a fingerprint by the
-fingerprints of what comes or goes. The narrow entries are packed three to a 64-bit sum, far from
-overflow below eight million units a text.
+fingerprints of what comes or goes. The narrow entries are packed two to a 64-bit sum; none runs over below 2^30
+units, more than a text of one gigabyte has.
 
 Defined results: null and empty texts have the fingerprint of no paragraphs, alike 1 to each other;
 equal texts have equal fingerprints; rows of equal `doc_id` follow each other by text; a null `doc_id`
@@ -29,9 +29,9 @@ from stocktide.session import shuffle_width
 #: Longest piece of a paragraph that is hashed as one.
 PIECE = 64
 PIECES = rf"[^.,;:!?\n]{{1,{PIECE}}}"
-SHIFTS, LANE_BITS, SIGNS = 20, 20, 2
-#: Bits 0, 20 and 40: three counts to a packed sum.
-SPREAD = (1 << 40) | (1 << 20) | 1
+SHIFTS, LANE_BITS, LANES, SIGNS = 30, 30, 2, 2
+#: Bits 0 and 30: two counts to a packed sum.
+SPREAD = (1 << LANE_BITS) | 1
 LANE = (1 << LANE_BITS) - 1
 WIDE = 4
 PACKED = [f"p{s}_{j}" for s in range(SIGNS) for j in range(SHIFTS)]
@@ -68,7 +68,7 @@ def vectors(texts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def lanes(packed: Column) -> list[Column]:
-    return [F.shiftrightunsigned(packed, LANE_BITS * i).bitwiseAND(F.lit(LANE)) for i in range(3)]
+    return [F.shiftrightunsigned(packed, LANE_BITS * i).bitwiseAND(F.lit(LANE)) for i in range(LANES)]
 
 
 def spelled(entry) -> Column:
