@@ -7,8 +7,11 @@ one of them is 0 or 1, with the chances that keep each document's expected numbe
 never changes, so of all documents of a source only the very last one, which has no partner left, moves
 the total, by less than its own size.
 
-Documents above a `LARGE`-th of their source (fewer than `LARGE` of them) go first, each paired with
-all smaller ones of the source together, so that the last one without a partner is a small one.
+Documents above a `LARGE`-th of their source (fewer than `LARGE` of them) go first, in descending size, each
+paired with all smaller ones of the source together, large or not. Where those can balance it only one way, it
+goes that way (nearness to the target comes before chance here); where they can't balance it at all, which
+takes a document larger than all smaller ones together, they end whole and it is the last one without a
+partner. So a total misses its target by less than a `LARGE`-th of its source, or than such a document.
 
 The pairs form a reduction tree: hashed blocks of about `BLOCK` documents of a source are folded in one
 group each, the one undecided document of every block goes to the next level, and so on until one is
@@ -148,48 +151,51 @@ def pivotal(units: DataFrame, most_units: int, seed: int = 0, block: int = BLOCK
 
 
 def _against_rest(acc: Column, x: Column, seed: int) -> Column:
-    """Move words between one large unit and all small ones (`has` words taken, `lacks` not taken)."""
-
-    def step(moved: Column) -> Column:
-        a, w = x["p"] * x["size"], x["size"].cast("double")
-        to_unit, to_rest = moved["to_unit"], moved["to_rest"]
-        up = (_chance(F.lit(seed), F.lit("large"), x["key"]) * (to_unit + to_rest) < to_rest)
-        now = F.when(up, (a + to_unit) / w).otherwise((a - to_rest) / w)
-        change = F.when(up, to_unit).otherwise(-to_rest)
+    """Move words between the largest open unit and all smaller ones, which share the fraction `p` and have `rest` words."""
+
+    def step(m: Column) -> Column:
+        w, a = x["size"].cast("double"), m["p"] * x["size"]
+        fills, empties = (1 - m["p"]) * w <= m["p"] * m["rest"], m["p"] * w <= (1 - m["p"]) * m["rest"]
+        drawn = _chance(F.lit(seed), F.lit("large"), x["key"]) * (m["to_unit"] + m["to_rest"]) < m["to_rest"]
+        up = F.when(fills == empties, drawn).otherwise(fills)
+        change = F.when(up, m["to_unit"]).otherwise(-m["to_rest"])
+        now = (a + change) / w
         whole = (now < NEAR) | (now > 1 - NEAR)
         none_done, none_left = F.slice(acc["done"], 1, 0), F.slice(acc["left"], 1, 0)
         return F.struct(
-            (acc["has"] - change).alias("has"), (acc["lacks"] + change).alias("lacks"),
+            F.when(m["rest"] > 0, m["p"] - change / m["rest"]).otherwise(m["p"]).alias("p"), m["rest"].alias("rest"),
             F.concat(acc["done"], F.when(whole, _decided(x, now > 0.5)).otherwise(none_done)).alias("done"),
             F.concat(acc["left"], F.when(whole, none_left).otherwise(F.array(_state(now, x)))).alias("left"),
         )
 
-    a, w = x["p"] * x["size"], x["size"].cast("double")
-    able = F.struct(F.least(w - a, acc["has"]).alias("to_unit"), F.least(a, acc["lacks"]).alias("to_rest"))
+    w, p = x["size"].cast("double"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), acc["p"]))
+    rest = acc["rest"] - w
+    able = F.struct(
+        p.alias("p"), rest.alias("rest"),
+        F.least((1 - p) * w, p * rest).alias("to_unit"), F.least(p * w, (1 - p) * rest).alias("to_rest"),
+    )
     return bind(able, step)
 
 
 def _large_first(rows: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     """Decisions on large units, and the others with the fraction that this leaves them."""
     large = F.col("size") * LARGE > F.col("source_size")
-    unit = F.struct((-F.col("size")).alias("order"), "key", F.col("size").cast("long").alias("size"), "p")
+    unit = F.struct((-F.col("size")).alias("order"), "key", F.col("size").cast("long").alias("size"))
     groups = rows.where(large).groupBy("source", "source_size", "n_docs").agg(
         F.sort_array(F.collect_list(unit)).alias("units"), F.first("p").alias("p")
     )
-    small = (F.col("source_size") - F.aggregate("units", F.lit(0).cast("long"), lambda t, u: t + u["size"])).cast("double")
     state = "struct<key:struct<a:bigint,b:bigint>,size:bigint,p:double>"
     start = F.struct(
-        (F.col("p") * small).alias("has"), ((1 - F.col("p")) * small).alias("lacks"),
+        F.col("p").alias("p"), F.col("source_size").cast("double").alias("rest"),
         F.array().cast("array<struct<key:struct<a:bigint,b:bigint>,extra:int>>").alias("done"),
         F.array().cast(f"array<{state}>").alias("left"),
     )
     folded = cut_lineage(groups.select(
-        "source", "n_docs", small.alias("small"),
-        F.aggregate("units", start, lambda acc, x: _against_rest(acc, x, seed)).alias("f"),
+        "source", "n_docs", F.aggregate("units", start, lambda acc, x: _against_rest(acc, x, seed)).alias("f"),
     ))
     done = folded.select(F.explode("f.done").alias("d")).select("d.key", "d.extra")
     left = folded.select("source", "n_docs", F.explode("f.left").alias("u")).select("source", "u.*", "n_docs")
-    changed = folded.select(F.col("source").alias("_source"), (F.col("f.has") / F.greatest("small", F.lit(1.0))).alias("_p"))
+    changed = folded.select(F.col("source").alias("_source"), F.col("f.p").alias("_p"))
     rest = rows.where(~large).join(changed, F.col("source").eqNullSafe(F.col("_source")), "left")
     rest = rest.select("source", "key", "size", F.coalesce("_p", "p").alias("p"), "n_docs")
     return done, rest.unionByName(left)
