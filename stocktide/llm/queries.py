@@ -62,7 +62,7 @@ def _token_files(spark, folder):
 def _warc(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     archive = warc_store.write_archive(pages, f"{shared_folder(spark).rstrip('/')}/warc")
-    return warc_store.describe(warc_store.read_records(archive)).drop("header_agrees")
+    return warc_store.describe(warc_store.read_records(archive))
 
 
 def _mix(spark, folder):

@@ -19,15 +19,16 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.llm.common import bind
-from stocktide.session import cut_lineage
+from stocktide.session import cut_lineage, released_tables
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-CRLF = "\r\n"
+CRLF, CONTENT_TYPE = "\r\n", "text/html; charset=utf-8"
 HEADERS = "page_id long, address binary, header binary"
 PAYLOADS = "address binary, payload binary"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -60,51 +61,63 @@ def base32_sha1(payload: Column) -> Column:
     return bind(F.sha1(payload), spell)
 
 
-def _header(kind: Column) -> Column:
+def _record_id(archive: str, page: Column, no: Column) -> Column:
+    """Unique in the world: the archive's name, the page and the number of the record in the archive."""
+    page = F.coalesce(page.cast("string"), F.lit("none"))
+    return F.concat(F.lit(f"<urn:page:{archive}:"), page, F.lit(":"), no.cast("string"), F.lit(">"))
+
+
+def _header(kind: Column, archive: str, written: str) -> Column:
     """The exact header block of a record."""
-    page = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), kind),
-        F.concat(F.lit("WARC-Record-ID: <urn:page:"), page, F.lit(">")),
+        F.concat(F.lit("WARC-Record-ID: "), _record_id(archive, F.col("page_id"), F.col("no"))),
+        F.lit(f"WARC-Date: {written}"),
         # A target may not break the block: line ends in it are percent-encoded.
         F.concat(F.lit("WARC-Target-URI: "), F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
+        F.lit(f"Content-Type: {CONTENT_TYPE}"),
         F.concat(F.lit("Content-Length: "), F.when(kind == "revisit", 0).otherwise(F.col("n_bytes")).cast("string")),
     ]
     revisit = F.concat(
-        F.lit(f"WARC-Profile: {REVISIT_PROFILE}{CRLF}WARC-Refers-To: <urn:page:"),
-        F.col("first_id").cast("string"), F.lit(f">{CRLF}"),
+        F.lit(f"WARC-Profile: {REVISIT_PROFILE}{CRLF}WARC-Refers-To: "),
+        _record_id(archive, F.col("first_id"), F.col("first_no")), F.lit(CRLF),
     )
     block = F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF), F.when(kind == "revisit", revisit).otherwise(""), F.lit(CRLF))
     return F.encode(block, "UTF-8")
 
 
-def write_archive(pages: DataFrame, folder: str, least_bytes: int = 0) -> Archive:
-    """Write a record per row of (`page_id`, `url`, `html`)."""
+def write_archive(pages: DataFrame, folder: str, least_bytes: int = 0, written: datetime | None = None) -> Archive:
+    """Write a record per row of (`page_id`, `url`, `html`), all dated `written` (default: now)."""
+    date = (written or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         payload.alias("payload"),
     )
     address = F.unhex(F.sha2("payload", 256))
-    archive = Archive(pages.sparkSession, f"{folder.rstrip('/')}/{uuid.uuid4().hex}")
+    name = uuid.uuid4().hex
+    archive = Archive(pages.sparkSession, f"{folder.rstrip('/')}/{name}")
     distinct = rows.select(address.alias("address"), "payload").groupBy("address")
     distinct.agg(F.first("payload").alias("payload")).write.parquet(f"{archive.folder}/payloads")
 
-    facts = cut_lineage(
-        rows.select("page_id", "url", address.alias("address"), base32_sha1(F.col("payload")).alias("digest"),
-                    F.octet_length("payload").cast("long").alias("n_bytes"))
-    )
-    # Only addresses of several records need a look at the others.
-    firsts = cut_lineage(
-        facts.where(F.col("n_bytes") >= least_bytes).groupBy("address")
-        .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    facts = rows.select(
+        "page_id", "url", address.alias("address"), base32_sha1(F.col("payload")).alias("digest"),
+        F.octet_length("payload").cast("long").alias("n_bytes"), F.monotonically_increasing_id().alias("no"),
     )
-    known = facts.join(firsts, "address", "left")
-    later = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    kind = F.when(later, "revisit").otherwise("response")
-    known.select("page_id", "address", _header(kind).alias("header")).write.parquet(f"{archive.folder}/headers")
+    with released_tables(pages.sparkSession):
+        facts = cut_lineage(facts)
+        # Only addresses of several records need a look at the others.
+        first = F.min(F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "no")).alias("first")
+        firsts = facts.where(F.col("n_bytes") >= least_bytes).groupBy("address").agg(first, F.count("*").alias("n"))
+        firsts = firsts.where("n > 1 AND NOT first.unknown").select(
+            "address", F.col("first.page_id").alias("first_id"), F.col("first.no").alias("first_no")
+        )
+        known = facts.join(cut_lineage(firsts), "address", "left")
+        later = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+        kind = F.when(later, "revisit").otherwise("response")
+        known.select("page_id", "address", _header(kind, name, date).alias("header")).write.parquet(f"{archive.folder}/headers")
     return archive
 
 
@@ -128,12 +141,13 @@ def field(header: Column, name: str) -> Column:
 
 
 def describe(records: DataFrame) -> DataFrame:
-    """Per record what its header and payload say; fails on a payload that isn't what its address says."""
-    page = F.regexp_extract(field(F.col("header"), "WARC-Refers-To"), "<urn:page:(-?[0-9]+)>", 1)
+    """Per record what its header and payload say; fails on a payload that isn't what its address or its header says."""
+    page = F.regexp_extract(field(F.col("header"), "WARC-Refers-To"), "<urn:page:[0-9a-f]+:(-?[0-9]+):", 1)
     payload = F.when(F.col("verified"), F.col("payload")).otherwise(F.raise_error(F.lit("a payload doesn't match its address")))
-    return records.withColumn("whole", payload).select(
-        "page_id", F.octet_length("whole").cast("long").alias("payload_bytes"),
-        base32_sha1(F.col("whole")).alias("payload_digest"),
+    digest = base32_sha1(F.col("whole"))
+    said = field(F.col("header"), "WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("digest"))
+    agreed = F.when(said, F.col("digest")).otherwise(F.raise_error(F.lit("a payload doesn't match its header's digest")))
+    return records.withColumn("whole", payload).withColumn("digest", digest).select(
+        "page_id", F.octet_length("whole").cast("long").alias("payload_bytes"), agreed.alias("payload_digest"),
         field(F.col("header"), "WARC-Type").alias("record_type"), F.try_to_number(page, F.lit("S9999999999999999999")).cast("long").alias("refers_to"),
-        (field(F.col("header"), "WARC-Payload-Digest") == F.concat(F.lit("sha1:"), base32_sha1(F.col("whole")))).alias("header_agrees"),
     )
