@@ -11,7 +11,7 @@ import uuid
 from stocktide.llm import line_dedup, mixing, near_dedup, quality_rules
 from stocktide.llm.common import table
 from stocktide.llm.queries import encoded
-from stocktide.session import shared_folder
+from stocktide.session import delete_folder, released_tables, shared_folder
 
 #: Pseudo-random rounding and byte-pair encoding have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -55,10 +55,16 @@ STAGES = [
 
 
 def run(spark, sf_dir):
-    """All stages over `documents`, each one's result stored in the shared folder."""
+    """All stages over `documents`, each one's result stored in the shared folder.
+
+    What a stage stored for itself, and its input, are deleted once its result is written.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        with released_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        if i:
+            delete_folder(spark, f"{folder}/{i - 1}")
         docs = spark.read.parquet(f"{folder}/{i}")
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -39,11 +40,22 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, reachable from every executor.
 
-    It is the one named in `spark.checkpoint.dir`; without one, a folder in the SQL warehouse, which a
-    cluster shares anyway.
+    It is the one named in `spark.checkpoint.dir`. Without one it lies in the SQL warehouse if that is a folder
+    all machines reach: one of another file system than the local one, or any where Spark runs on one machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = warehouse.startswith(("/", "file:")) or ":/" not in warehouse
+    if local and not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+    return f"{warehouse}/_intermediate"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(
@@ -77,8 +89,7 @@ def released_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _blocks.reset(token)
         for path in paths:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(spark, path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
