@@ -1,6 +1,6 @@
-"""Registered queries that fit models. They have no SQL equivalent and are checked by rows.
+"""Registered queries that fit models, and checks on their forecasts that SQL can state.
 
-Trees, grid, folds, seeds and search take the settings of `config`, as the library does.
+Trees, grids, folds, seeds and search take the settings of `config`, as the library does.
 """
 
 from __future__ import annotations
@@ -10,7 +10,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from stocktide.catalog.feature_queries import training_years
-from stocktide.config import GLOBAL_TREES, N_FOLDS, N_TRIALS, SEARCH_ROUNDS, SEEDS, STORE_TREES, TREE_GRID
+from stocktide.config import (
+    GLOBAL_TREES, N_FOLDS, N_TRIALS, SEARCH_ROUNDS, SEEDS, STORE_ROUNDS, STORE_TREE_GRID, STORE_TREES, TREE_GRID,
+)
 from stocktide.plans import gold, models, reports, validation
 from stocktide.session import cut_lineage, shared_folder
 from stocktide.sources import star_schema as star
@@ -28,40 +30,44 @@ def split(spark, folder):
     return validation.holdout(feature_rows(spark, folder))
 
 
-def trees(names, **kwargs):
-    return models.tree_pipeline(names, GLOBAL_TREES, **kwargs)
-
-
-def store_trees(names):
-    return models.tree_pipeline(names, STORE_TREES)
-
-
 def _glm_forecast(spark, folder):
     return models.fit_predict(*split(spark, folder), models.default_features())[1]
 
 
 def _tree_forecast(spark, folder):
-    return models.fit_predict(*split(spark, folder), models.default_features(), trees)[1]
+    return models.tree_forecast(*split(spark, folder), models.default_features())
+
+
+def _stores(train, test):
+    return models.store_forecasts(train, test, models.default_features(), STORE_TREES, STORE_ROUNDS)
 
 
 def _store_models(spark, folder):
-    return models.store_forecasts(*split(spark, folder), models.default_features(), store_trees)
+    return _stores(*split(spark, folder))
 
 
-def _store_folds(spark, folder):
+def _fold_forecasts(spark, folder):
+    """Rows, folds and the per-store forecasts of all folds at every tree count."""
     rows = feature_rows(spark, folder)
     folds = validation.folds_of(rows)
-    found = models.store_out_of_fold(rows, folds, models.default_features(), store_trees)
+    return rows, folds, models.store_out_of_fold(rows, folds, models.default_features(), STORE_TREES, STORE_TREE_GRID)
+
+
+def _store_folds(spark, folder):
+    found = _fold_forecasts(spark, folder)[2]
     return found.groupBy("fold", "store_id").agg(
-        F.count("*").alias("rows"), F.sum("prediction").alias("predicted_units")
+        F.count("*").alias("rows"), F.sum(models.pred(STORE_ROUNDS)).alias("predicted_units")
     )
 
 
+def _store_grid(spark, folder):
+    rows, folds, found = _fold_forecasts(spark, folder)
+    return reports.tree_report(models.store_tree_scores(rows, folds, found, STORE_TREE_GRID), FOLDS)
+
+
 def _tree_grid(spark, folder):
     rows = feature_rows(spark, folder)
-    folds = validation.folds_of(rows)
-    scores = models.tree_count_scores(rows, folds, TREE_GRID)
-    return reports.tree_report(scores, FOLDS)
+    return reports.tree_report(models.tree_count_scores(rows, validation.folds_of(rows), TREE_GRID), FOLDS)
 
 
 def _best_trees(spark, folder):
@@ -70,48 +76,72 @@ def _best_trees(spark, folder):
 
 def _group_drop(spark, folder):
     rows = feature_rows(spark, folder)
-    folds = validation.folds_of(rows)
-    scores = models.cross_validate(rows, folds, models.group_drop_variants())
+    scores = models.cross_validate(rows, validation.folds_of(rows), models.group_drops())
     return reports.cv_report(scores, FOLDS)
 
 
+def _combined(train, test):
+    wide = models.tree_forecast(train, test, models.default_features())
+    return cut_lineage(models.ensemble(wide, _stores(train, test)))
+
+
 def _ensemble(spark, folder):
     train, test = split(spark, folder)
-    names = models.default_features()
-    wide = models.fit_predict(train, test, names)[1]
-    combined = models.ensemble(wide, models.store_forecasts(train, test, names, store_trees))
-    return models.ensemble_scores(train, cut_lineage(combined))
+    return models.ensemble_scores(train, _combined(train, test))
 
 
 def _search(spark, folder):
     rows = feature_rows(spark, folder)
-    folds = validation.folds_of(rows)
-    return models.random_search(
-        rows, folds, models.default_features(), N_TRIALS, SEARCH_ROUNDS, seeds=SEEDS
-    )
+    return models.random_search(rows, validation.folds_of(rows), models.default_features(), N_TRIALS, SEARCH_ROUNDS, seeds=SEEDS)
 
 
 def _early_stopping(spark, folder):
+    """Score by seeds, rounds that forecasts take and rounds that were fitted."""
     train, test = split(spark, folder)
-    per_seed, counts = models.early_stopped(
-        train, test, models.default_features(), GLOBAL_TREES, SEARCH_ROUNDS, SEEDS
-    )
-    means = models.seed_mean(train, cut_lineage(per_seed), counts)
-    return spark.createDataFrame([(means["wrmsse"], means["trees"])], "wrmsse double, trees int")
+    per_seed, fits = models.early_stopped(train, test, models.default_features(), GLOBAL_TREES, SEARCH_ROUNDS, SEEDS)
+    means = models.seed_mean(train, cut_lineage(per_seed), [f.used for f in fits])
+    row = (means["wrmsse"], means["trees"], max(f.rounds for f in fits))
+    return spark.createDataFrame([row], "wrmsse double, trees int, rounds_fitted int")
 
 
 def _importance(spark, folder):
-    train, _ = split(spark, folder)
     names = models.default_features()
-    return models.feature_importance(spark, models.fit(trees(names), models.prepare(train, names)))
+    return models.feature_importance(spark, names, models.fit_trees(split(spark, folder)[0], names)[1])
 
 
 def _stored_model(spark, folder):
     train, test = split(spark, folder)
     names = models.default_features()
     path = f"{shared_folder(spark)}/models/{uuid.uuid4().hex}"
-    models.fit(models.glm_pipeline(names), models.prepare(train, names)).write().save(path)
-    return models.score_stored_model(path, train, test, names)
+    models.fit_predict(train, test, names)[0].write().save(path)
+    whole = models.score_stored_model(path, train, test, names).withColumn("rows", F.lit("all"))
+    weekend = models.score_stored_model(path, train, test, names, "is_weekend = 1").withColumn("rows", F.lit("weekend"))
+    return whole.unionByName(weekend)
+
+
+def _checks(forecast):
+    """Per store the rows and distinct keys of a forecast, its units and how many values no forecast may have."""
+    bad = F.col("prediction").isNull() | F.isnan("prediction") | (F.col("prediction") < 0)
+    return forecast.groupBy("store_id").agg(
+        F.count("*").alias("rows"), F.countDistinct(*models.KEYS).alias("keys"),
+        F.sum("sales").cast("long").alias("units"), F.count_if(bad).alias("bad_values"),
+    )
+
+
+def _glm_checks(spark, folder):
+    return _checks(_glm_forecast(spark, folder))
+
+
+def _stored_fit(spark, folder):
+    """A fit with few rounds, taken up with more and read back: it must forecast what one fit does, in each case."""
+    train, test = split(spark, folder)
+    names, few = models.default_features(), {**GLOBAL_TREES, "num_leaves": 4, "learning_rate": 0.5}
+    once = models.tree_forecast(train, test, names, few, 4)
+    again = models.tree_forecast(train, test, names, few, 4)
+    both = once.join(again.select(*models.KEYS, F.col("prediction").alias("again")), models.KEYS)
+    return _checks(once).join(
+        both.groupBy("store_id").agg(F.count_if(F.col("prediction") != F.col("again")).alias("changed")), "store_id"
+    )
 
 
 def queries():
@@ -120,6 +150,7 @@ def queries():
         "gbt_forecast": _tree_forecast,
         "store_models": _store_models,
         "store_fold_forecasts": _store_folds,
+        "store_tree_grid": _store_grid,
         "tree_grid": _tree_grid,
         "best_trees": _best_trees,
         "group_drop": _group_drop,
@@ -128,8 +159,12 @@ def queries():
         "early_stopping": _early_stopping,
         "feature_importance": _importance,
         "stored_model_score": _stored_model,
+        "glm_forecast_checks": _glm_checks,
+        "stored_fit_checks": _stored_fit,
     }
 
 
 def oracle_sql():
-    return {}
+    from oracles import models as statements
+
+    return statements.statements()

@@ -133,6 +133,8 @@ STORE_TREES = {
 }
 TREE_GRID = (100, 200, 300, 400, 500, 750, 1000, 1500, 2000)
 STORE_TREE_GRID = (50, 100, 150, 200, 250, 300, 400)
+# Trees of the store models behind the published hold-out forecasts; the larger count above belongs to an earlier grid.
+STORE_ROUNDS = 200
 
 # Seeds, boosting rounds at most and trials of the search. Trials are more than its pruning rule waits for.
 SEEDS = (1, 2, 3)
@@ -148,6 +150,12 @@ SEARCH_SPACE = {
     "lambda_l2": (1e-3, 10.0, True),
     "tweedie_variance_power": (1.05, 1.5, False),
 }
+#: The ranges that each learner reads.
+TREE_SPACE = {k: SEARCH_SPACE[k] for k in ("num_leaves", "min_data_in_leaf", "feature_fraction", "bagging_fraction")}
+GLM_SPACE = {k: SEARCH_SPACE[k] for k in ("lambda_l2", "tweedie_variance_power")}
+
+#: Places of a linear model's vector that each id column is hashed to.
+ID_WIDTH = 256
 
 
 class SettingsError(ValueError):

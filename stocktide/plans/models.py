@@ -1,203 +1,201 @@
-"""Forecast models on `pyspark.ml`: fitting, tree counts, group drops, search, stores, ensembles.
+"""Forecast models on `pyspark.ml`: inputs, fits, group drops, tree counts, search, stores, ensembles.
 
-Two learners share one interface. `glm_pipeline` minimises the Tweedie deviance with a log link;
-`tree_pipeline` boosts regression trees on squared loss and its forecasts are cut at zero. All
-variants of an experiment are stacked into one frame and scored in one job.
+Two learners share their inputs' names. The generalised linear model minimises the Tweedie deviance with a log
+link; boosted trees (`plans.boosting`) take squared loss and their forecasts are cut at zero. Inputs are assembled
+to vectors once; variants without some of them slice the vector. All variants of an experiment are
+scored in one job, and fits that don't depend on each other run side by side.
 """
 
 from __future__ import annotations
 
 import math
 import random
-import re
 import statistics
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.config import (
     CATEGORICAL_FEATURES,
     FEATURE_GROUPS,
+    GLM_SPACE,
     GLOBAL_TREES,
     HORIZON,
-    SEARCH_SPACE,
+    ID_WIDTH,
     SERIES_KEYS,
+    TREE_SPACE,
     model_features,
 )
 from stocktide.operators import scoring
 from stocktide.operators.hierarchy import level_scales, level_weights
 from stocktide.operators.joins import join_checked
+from stocktide.plans import boosting
+from stocktide.plans.boosting import FEATURES_COLUMN, PATIENCE, Boosted, side_by_side
 from stocktide.plans.validation import Fold, split
-from stocktide.session import cut_lineage
+from stocktide.session import cut_lineage, shared_folder
 
 KEYS = [*SERIES_KEYS, "date"]
 OUTPUT = ["item_id", "store_id", "cat_id", "dept_id", "state_id", "date", "sales", "sell_price"]
-FEATURES_COLUMN = "features"
-#: Rounds without a better error after which boosting counts as stopped.
-PATIENCE = 50
-MakePipeline = Callable[[Sequence[str]], Pipeline]
+IDS = FEATURE_GROUPS["ids"]
+#: Fits that run at a time.
+WORKERS = 4
 
 
 def default_features(drop_group: str | None = None) -> list[str]:
-    """All feature groups but the raw ids, which the encodings stand for."""
-    groups = {k: v for k, v in FEATURE_GROUPS.items() if k != "ids"}
-    return model_features(groups, drop_group=drop_group)
+    """All features of all groups, or of all but one."""
+    return model_features(drop_group=drop_group)
 
 
 def prepare(features: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Cast model inputs to double and mark unknown values (no history yet) with -1."""
+    """Cast model inputs to double, mark unknown values (no history yet) with NULL, and add the label."""
     numeric = [n for n in names if n not in CATEGORICAL_FEATURES]
-    return features.withColumns(
-        {n: F.coalesce(F.col(n).cast("double"), F.lit(-1.0)) for n in numeric}
-    ).withColumn("label", F.col("sales").cast("double"))
-
-
-def _stages(names: Sequence[str], one_hot: bool) -> list:
-    categorical = [n for n in names if n in CATEGORICAL_FEATURES]
-    inputs = [n for n in names if n not in CATEGORICAL_FEATURES]
-    stages: list = []
-    if one_hot and inputs:
-        # Under a log link a raw level of 100 units would enter as exp(100 b); its logarithm enters
-        # as a power of the level.
-        logs = ", ".join(f"ln(1 + greatest(`{n}`, 0)) AS `{n}_log`" for n in inputs)
-        stages.append(SQLTransformer(statement=f"SELECT *, {logs} FROM __THIS__"))
-        inputs = [f"{n}_log" for n in inputs]
-    if categorical:
-        codes = [f"{n}_code" for n in categorical]
-        stages.append(
-            StringIndexer(inputCols=categorical, outputCols=codes, handleInvalid="keep")
-        )
-        if one_hot:
-            hot = [f"{n}_hot" for n in categorical]
-            stages.append(OneHotEncoder(inputCols=codes, outputCols=hot, handleInvalid="keep"))
-            codes = hot
-        inputs = inputs + codes
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES_COLUMN))
-    return stages
+    return features.withColumns({n: F.col(n).cast("double") for n in numeric}).withColumn("label", F.col("sales").cast("double"))
 
 
-def glm_pipeline(
-    names: Sequence[str],
-    variance_power: float = 1.1,
-    regularisation: float = 0.1,
-    max_iterations: int = 10,
-) -> Pipeline:
-    """Tweedie regression with a log link on logarithms of the numeric features."""
-    learner = GeneralizedLinearRegression(
-        family="tweedie",
-        variancePower=variance_power,
-        linkPower=0.0,
-        regParam=regularisation,
-        maxIter=max_iterations,
-        featuresCol=FEATURES_COLUMN,
-        labelCol="label",
-    )
-    return Pipeline(stages=[*_stages(names, one_hot=True), learner])
+@dataclass
+class Inputs:
+    """Fitted stages from prepared rows to `features`, and which places of the vector each input name fills.
 
+    The places of inputs that don't vary in the rows they were fitted on are left out: they tell nothing, and
+    a solver of normal equations breaks on them.
+    """
+
+    stages: PipelineModel
+    places: dict[str, list[int]]
+
+    def vectors(self, rows: DataFrame, *keep: str) -> DataFrame:
+        kept = dict.fromkeys([*keep, "label", FEATURES_COLUMN])
+        return self.stages.transform(prepare(rows, self.places)).select(*kept)
+
+    def without(self, dropped: Iterable[str]) -> list[int]:
+        """Places of all inputs but the dropped ones."""
+        gone = set(dropped)
+        return sorted(i for n, places in self.places.items() if n not in gone for i in places)
 
-def tree_pipeline(
-    names: Sequence[str],
-    params: Mapping[str, float] = GLOBAL_TREES,
-    trees: int | None = None,
-    stop_column: str | None = None,
-    stop_tolerance: float = 0.0,
-) -> Pipeline:
-    """Boosted trees; leaves, leaf size, bins, rate and fractions follow the given settings.
 
-    `stop_column` marks the rows on which boosting stops early.
+def tree_inputs(train: DataFrame, names: Sequence[str], bins: int = GLOBAL_TREES["max_bin"]) -> Inputs:
+    """One place per name: unknown numbers are -1, which trees can split off; names are indexed.
+
+    Names of more values than a tree has bins can't be split as sets; they count as numbers in order of frequency.
     """
-    learner = GBTRegressor(
-        featuresCol=FEATURES_COLUMN,
-        labelCol="label",
-        maxIter=int(trees or params["num_iterations"]),
-        stepSize=float(params["learning_rate"]),
-        maxDepth=max(1, math.ceil(math.log2(params["num_leaves"]))),
-        minInstancesPerNode=int(params["min_data_in_leaf"]),
-        maxBins=int(params["max_bin"]) + 1,
-        subsamplingRate=float(params["bagging_fraction"]),
-        featureSubsetStrategy=(
-            "all" if params["feature_fraction"] >= 1 else str(params["feature_fraction"])
-        ),
-        seed=int(params["seed"]),
-        maxMemoryInMB=512,
-    )
-    if stop_column:
-        learner = learner.setParams(
-            validationIndicatorCol=stop_column, validationTol=stop_tolerance
+    rows = prepare(train, names)
+    words = [n for n in names if n in CATEGORICAL_FEATURES]
+    known = ", ".join(f"coalesce(`{n}`, -1D) AS `{n}_in`" for n in names if n not in words)
+    stages: list = [SQLTransformer(statement=f"SELECT *, {known} FROM __THIS__")] if known else []
+    if words:
+        indexer = StringIndexer(inputCols=words, outputCols=[f"{n}_code" for n in words], handleInvalid="keep").fit(rows)
+        plain = ", ".join(
+            f"{n}_code + 0D AS {n}_in" if len(labels) >= bins else f"{n}_code AS {n}_in" for n, labels in zip(words, indexer.labelsArray)
         )
-    return Pipeline(stages=[*_stages(names, one_hot=False), learner])
+        stages += [indexer, SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__")]
+    stages.append(VectorAssembler(inputCols=[f"{n}_in" for n in names], outputCol=FEATURES_COLUMN))
+    return Inputs(Pipeline(stages=stages).fit(rows), {n: [i] for i, n in enumerate(names)})
 
 
-def predict(model: PipelineModel, rows: DataFrame, name: str = "prediction") -> DataFrame:
-    """Forecast columns of interest, never negative."""
-    out = model.transform(rows)
-    return out.select(*OUTPUT, F.greatest(F.col("prediction"), F.lit(0.0)).alias(name))
+def glm_inputs(train: DataFrame, names: Sequence[str], id_width: int = ID_WIDTH) -> Inputs:
+    """Logarithms of numbers, a flag for each that can be unknown, one-hot names, and ids hashed to `id_width` places.
 
+    Under a log link a raw level of 100 units would enter as exp(100 b); its logarithm enters as a power of the
+    level. The width of ids doesn't grow with their number.
+    """
+    rows = prepare(train, names)
+    words = [n for n in names if n in CATEGORICAL_FEATURES and n not in IDS]
+    ids = [n for n in names if n in IDS]
+    numbers = [n for n in names if n not in CATEGORICAL_FEATURES]
+    columns = [f"coalesce(signum(`{n}`) * ln(1 + abs(`{n}`)), 0D) AS `{n}_log`, CAST(`{n}` IS NULL AS DOUBLE) AS `{n}_unknown`" for n in numbers]
+    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")] if columns else []
+    inputs = [(n, f"{n}_{kind}") for n in numbers for kind in ("log", "unknown")]
+    if words:
+        codes, hot = [f"{n}_code" for n in words], [f"{n}_hot" for n in words]
+        stages.append(StringIndexer(inputCols=words, outputCols=codes, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=codes, outputCols=hot, handleInvalid="keep"))
+        inputs += list(zip(words, hot))
+    for n in ids:
+        stages.append(FeatureHasher(inputCols=[n], outputCol=f"{n}_hashed", numFeatures=id_width))
+        inputs.append((n, f"{n}_hashed"))
+    whole = "_all_features"
+    stages.append(VectorAssembler(inputCols=[c for _, c in inputs], outputCol=whole))
+    fitted = Pipeline(stages=stages).fit(rows)
+    made = fitted.transform(rows)
+    spread = made.select(Summarizer.variance(F.col(whole))).first()[0].toArray()
+    one = made.first()
+    owner = [n for n, c in inputs for _ in range(len(one[c]) if hasattr(one[c], "__len__") else 1)]
+    varying = [i for i, v in enumerate(spread) if v > 0]
+    slicer = VectorSlicer(inputCol=whole, outputCol=FEATURES_COLUMN, indices=varying)
+    places: dict[str, list[int]] = {n: [] for n in names}
+    for at, i in enumerate(varying):
+        places[owner[i]].append(at)
+    return Inputs(PipelineModel(stages=[*fitted.stages, slicer]), places)
+
+
+def glm(variance_power: float = 1.1, regularisation: float = 0.1, max_iterations: int = 10, column: str = FEATURES_COLUMN) -> GeneralizedLinearRegression:
+    """Tweedie regression with a log link."""
+    return GeneralizedLinearRegression(
+        family="tweedie", variancePower=variance_power, linkPower=0.0, regParam=regularisation,
+        maxIter=max_iterations, featuresCol=column, labelCol="label", predictionCol="_glm",
+    )
+
+
+def never_negative(made: DataFrame, column: str, name: str = "prediction") -> DataFrame:
+    return made.select(*OUTPUT, F.greatest(F.col(column), F.lit(0.0)).alias(name))
 
-def fit(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
-    """Fit the feature stages, keep the assembled vectors, fit the learner on them.
 
-    The learner passes over its input once per iteration; without the kept vectors each pass would
-    scan and assemble again. Lost blocks are rebuilt from the scan.
-    """
-    *prepare_stages, learner = pipeline.getStages()
-    prepared = Pipeline(stages=prepare_stages).fit(rows)
-    used = ["label", FEATURES_COLUMN]
-    if learner.hasParam("validationIndicatorCol") and learner.isDefined("validationIndicatorCol"):
-        used.append(learner.getOrDefault("validationIndicatorCol"))
-    vectors = prepared.transform(rows).select(*used)
-    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+def fit_predict(
+    train: DataFrame, valid: DataFrame, names: Sequence[str], learner: GeneralizedLinearRegression | None = None
+) -> tuple[PipelineModel, DataFrame]:
+    """A fitted linear model with its input stages, and its forecasts."""
+    inputs = glm_inputs(train, names)
+    vectors = boosting.in_tasks(inputs.vectors(train)).persist()
     try:
-        return PipelineModel(stages=[*prepared.stages, learner.fit(vectors)])
+        fitted = (learner or glm()).fit(vectors)
     finally:
         vectors.unpersist()
+    model = PipelineModel(stages=[*inputs.stages.stages, fitted])
+    return model, predict(model, valid, names)
 
 
-def fit_predict(
-    train: DataFrame, valid: DataFrame, names: Sequence[str], make: MakePipeline = glm_pipeline
-) -> tuple[PipelineModel, DataFrame]:
-    model = fit(make(names), prepare(train, names))
-    return model, predict(model, prepare(valid, names))
+def predict(model: PipelineModel, rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    return never_negative(model.transform(prepare(rows, names)), "_glm")
 
 
-def first_trees(boosted: GBTRegressionModel, n: int, name: str = "prediction") -> GBTRegressionModel:
-    """The model of the first n trees, or of all where boosting has stopped before."""
-    gateway = SparkContext._active_spark_context._gateway
-    package, java = gateway.jvm.org.apache.spark.ml.regression, boosted._java_obj
-    n = min(n, boosted.getNumTrees)
-    trees, weights = java.trees(), java.treeWeights()
-    some = gateway.new_array(package.DecisionTreeRegressionModel, n)
-    shares = gateway.new_array(gateway.jvm.double, n)
-    for i in range(n):
-        some[i], shares[i] = trees[i], weights[i]
-    prefix = GBTRegressionModel(package.GBTRegressionModel(f"{boosted.uid}_{n}", some, shares))
-    return prefix.setFeaturesCol(FEATURES_COLUMN).setPredictionCol(name)
+def fit_trees(
+    train: DataFrame, names: Sequence[str], params: Mapping[str, float] = GLOBAL_TREES, rounds: int | None = None
+) -> tuple[Inputs, Boosted]:
+    """Boosted trees on all rows; the same rows and settings take the stored blocks of an earlier fit."""
+    inputs = tree_inputs(train, names, int(params["max_bin"]))
+    digest = boosting.fingerprint(train, [*names, "sales"])
+    folder = boosting.fit_folder(train.sparkSession, digest, params)
+    return inputs, boosting.fit(inputs.vectors(train), params, rounds, folder=folder)
 
 
-def with_tree_counts(model: PipelineModel, rows: DataFrame, grid: Sequence[int]) -> DataFrame:
-    """Forecasts of the first n trees for every n of the grid, from one fitted model."""
-    *stages, boosted = model.stages
-    out = PipelineModel(stages=list(stages)).transform(rows)
-    for n in grid:
-        out = first_trees(boosted, n, f"_first_{n}").transform(out)
-    return out.select(*OUTPUT, *[F.greatest(F.col(f"_first_{n}"), F.lit(0.0)).alias(f"pred_{n}") for n in grid])
+def tree_forecast(
+    train: DataFrame, valid: DataFrame, names: Sequence[str], params: Mapping[str, float] = GLOBAL_TREES, rounds: int | None = None
+) -> DataFrame:
+    inputs, model = fit_trees(train, names, params, rounds)
+    return never_negative(model.forecast(inputs.vectors(valid, *OUTPUT), "_trees"), "_trees")
+
+
+def pred(n: int) -> str:
+    return f"pred_{n}"
+
+
+def with_tree_counts(inputs: Inputs, model: Boosted, rows: DataFrame, grid: Sequence[int]) -> DataFrame:
+    """Forecasts of the first n trees for every n of the grid, as columns, from one fit and one pass."""
+    return model.staged(inputs.vectors(rows, *OUTPUT), grid, pred).select(*OUTPUT, *map(pred, grid))
 
 
 def long_predictions(wide: DataFrame, grid: Sequence[int], label: str = "trees") -> DataFrame:
     """One row per forecast and tree count."""
-    pairs = [
-        F.struct(F.lit(n).alias(label), F.col(f"pred_{n}").alias("prediction")) for n in grid
-    ]
-    return wide.withColumn("_p", F.explode(F.array(*pairs))).select(
-        *OUTPUT, f"_p.{label}", "_p.prediction"
-    )
+    pairs = [F.struct(F.lit(n).alias(label), F.col(pred(n)).alias("prediction")) for n in grid]
+    return wide.withColumn("_p", F.explode(F.array(*pairs))).select(*OUTPUT, f"_p.{label}", "_p.prediction")
 
 
 def stack(parts: Sequence[DataFrame]) -> DataFrame:
@@ -215,54 +213,72 @@ def score_variants(
     return scoring.wrmsse(levels, [variant]).withColumn("fold", F.lit(fold))
 
 
+def group_drops(groups: Mapping[str, Sequence[str]] = FEATURE_GROUPS, names: Sequence[str] | None = None) -> dict[str, list[str]]:
+    """What each variant leaves out: nothing for the baseline, then one group after another that has an input."""
+    full = list(names or default_features())
+    return {"baseline": [], **{f"{g}_dropped": list(c) for g, c in groups.items() if set(c) & set(full)}}
+
+
 def cross_validate(
     rows: DataFrame,
     folds: Sequence[Fold],
-    variants: Mapping[str, tuple[Sequence[str], MakePipeline]],
+    drops: Mapping[str, Sequence[str]],
+    names: Sequence[str] | None = None,
+    learner=glm,
+    workers: int = WORKERS,
 ) -> DataFrame:
-    """Scores (model, fold, wrmsse) of every variant, each a feature list and a pipeline maker."""
+    """Scores (model, fold, wrmsse) of the linear model without each variant's inputs.
+
+    A fold's vectors are assembled once and kept; each variant slices its places out of them, and the fits of a
+    fold run side by side. All variants' forecasts of a fold are scored in one job.
+    """
+    names = list(names or default_features())
     scores = []
     for fold in folds:
         train, valid = split(rows, fold)
-        parts = [
-            fit_predict(train, valid, names, make)[1].withColumn("model", F.lit(name))
-            for name, (names, make) in variants.items()
-        ]
-        scores.append(score_variants(train, cut_lineage(stack(parts)), "model", fold.folds))
+        inputs = glm_inputs(train, names)
+        vectors = boosting.in_tasks(inputs.vectors(train)).persist()
+        vectors.count()
+
+        def one(dropped: Sequence[str]) -> tuple[VectorSlicer, GeneralizedLinearRegressionModel]:
+            cut = VectorSlicer(inputCol=FEATURES_COLUMN, outputCol="_sliced", indices=inputs.without(dropped))
+            return cut, learner(column="_sliced").fit(cut.transform(vectors))
+
+        try:
+            fits = side_by_side(rows.sparkSession, [lambda d=d: one(d) for d in drops.values()], workers)
+        finally:
+            vectors.unpersist()
+        wide = inputs.vectors(valid, *OUTPUT)
+        for i, (cut, model) in enumerate(fits):
+            wide = model.setPredictionCol(f"_p{i}").transform(cut.transform(wide)).drop("_sliced")
+        pairs = [F.struct(F.lit(n).alias("model"), F.greatest(F.col(f"_p{i}"), F.lit(0.0)).alias("prediction")) for i, n in enumerate(drops)]
+        stacked = wide.select(*OUTPUT, F.explode(F.array(*pairs)).alias("p")).select(*OUTPUT, "p.*")
+        scores.append(score_variants(train, cut_lineage(stacked), "model", fold.folds))
     return cut_lineage(stack(scores))
 
 
-def group_drop_variants(
-    make: MakePipeline = glm_pipeline, groups: Mapping[str, Sequence[str]] = FEATURE_GROUPS
-) -> dict[str, tuple[list[str], MakePipeline]]:
-    """The full feature list as baseline, and one variant without each feature group."""
-    full = default_features()
-    variants = {"baseline": (full, make)}
-    for group, names in groups.items():
-        kept = [n for n in full if n not in names]
-        if len(kept) < len(full):
-            variants[f"{group}_dropped"] = (kept, make)
-    return variants
-
-
 def tree_count_scores(
     rows: DataFrame,
     folds: Sequence[Fold],
     grid: Sequence[int],
     names: Sequence[str] | None = None,
     params: Mapping[str, float] = GLOBAL_TREES,
+    workers: int = WORKERS,
 ) -> DataFrame:
-    """Scores (trees, fold, wrmsse): one fit per fold at the largest count, scored at every count."""
+    """Scores (trees, fold, wrmsse): one fit per fold at the largest count, scored at every count.
+
+    The folds' fits run side by side; each is stored, so another grid, or the choice of the best count,
+    takes the same fits.
+    """
     names = list(names or default_features())
-    scores = []
-    for fold in folds:
+
+    def one(fold: Fold) -> DataFrame:
         train, valid = split(rows, fold)
-        model = fit(tree_pipeline(names, params, trees=max(grid)), prepare(train, names))
-        wide = cut_lineage(with_tree_counts(model, prepare(valid, names), grid))
-        scores.append(
-            score_variants(train, long_predictions(wide, grid), "trees", fold.folds)
-        )
-    return cut_lineage(stack(scores))
+        inputs, model = fit_trees(train, names, params, max(grid))
+        wide = cut_lineage(with_tree_counts(inputs, model, valid, grid))
+        return score_variants(train, long_predictions(wide, grid), "trees", fold.folds)
+
+    return cut_lineage(stack(side_by_side(rows.sparkSession, [lambda f=f: one(f) for f in folds], workers)))
 
 
 def stores_of(rows: DataFrame) -> list[str]:
@@ -274,43 +290,59 @@ def store_forecasts(
     train: DataFrame,
     valid: DataFrame,
     names: Sequence[str],
-    make: MakePipeline = glm_pipeline,
-    workers: int = 4,
+    params: Mapping[str, float],
+    rounds: int,
+    grid: Sequence[int] = (),
+    workers: int = 2 * WORKERS,
 ) -> DataFrame:
-    """One model per store, each fitted as a distributed job, forecasts stacked.
+    """Forecasts of one model per store: column `prediction`, or one for each tree count of `grid`.
 
-    The rows are stored by store first, so a fit reads one folder. A few fits run side by side;
-    a store of any size is spread over the cluster like any other frame.
+    Vectors are assembled once for all stores and stored by store, so a fit reads one folder; a store of any size is
+    spread over the cluster like any other frame. Each fit is stored under its settings and rows, and writes its
+    forecasts to a folder of its own; the result reads all those folders at once, whatever their number.
     """
-    train = cut_lineage(train, ["store_id"])
-    valid = cut_lineage(valid, ["store_id"])
-
-    def one(store: str) -> DataFrame:
+    spark = train.sparkSession
+    inputs = tree_inputs(train, names, int(params["max_bin"]))
+    of_store = cut_lineage(inputs.vectors(train, "store_id"), ["store_id"])
+    target = cut_lineage(inputs.vectors(valid, *OUTPUT), ["store_id"])
+    sizes = {r["store_id"]: (r["count"], r["d"]) for r in of_store.groupBy("store_id").agg(
+        F.count("*").alias("count"), F.bit_xor(F.xxhash64("label", FEATURES_COLUMN)).alias("d")).collect()}
+    out = f"{shared_folder(spark).rstrip('/')}/store_forecasts/{uuid.uuid4().hex}"
+    counts, name = (grid, pred) if grid else ([rounds], lambda n: "prediction")
+
+    def one(number: int, store: str) -> None:
         mine = F.col("store_id") == store
-        return fit_predict(train.where(mine), valid.where(mine), names, make)[1]
+        model = boosting.fit(of_store.where(mine).select("label", FEATURES_COLUMN), params, rounds,
+                             folder=boosting.fit_folder(spark, str(sizes.get(store)), params, store))
+        made = model.staged(target.where(mine).select(*OUTPUT, FEATURES_COLUMN), counts, name)
+        made.select(*OUTPUT, *map(name, counts)).write.parquet(f"{out}/fit={number}")
 
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        parts = list(pool.map(one, stores_of(valid)))
-    return cut_lineage(stack(parts))
+    stores = [s for s in stores_of(target) if s in sizes]
+    side_by_side(spark, [lambda i=i, s=s: one(i, s) for i, s in enumerate(stores)], workers)
+    return spark.read.parquet(out).drop("fit")
 
 
 def store_out_of_fold(
-    rows: DataFrame,
-    folds: Sequence[Fold],
-    names: Sequence[str],
-    make: MakePipeline = glm_pipeline,
-    workers: int = 4,
+    rows: DataFrame, folds: Sequence[Fold], names: Sequence[str], params: Mapping[str, float], grid: Sequence[int], workers: int = 2 * WORKERS
 ) -> DataFrame:
-    """Per-store forecasts for every validation window, marked with the fold."""
+    """Per-store forecasts for every validation window at every tree count of the grid, marked with the fold."""
     parts = [
-        store_forecasts(*split(rows, fold), names, make, workers).withColumn(
-            "fold", F.lit(fold.folds)
-        )
+        store_forecasts(*split(rows, fold), names, params, max(grid), grid, workers).withColumn("fold", F.lit(fold.folds))
         for fold in folds
     ]
     return stack(parts)
 
 
+def store_tree_scores(rows: DataFrame, folds: Sequence[Fold], forecasts: DataFrame, grid: Sequence[int]) -> DataFrame:
+    """Scores (trees, fold, wrmsse) of per-store forecasts at every tree count, all stores together."""
+    scores = []
+    for fold in folds:
+        train, _ = split(rows, fold)
+        mine = forecasts.where(F.col("fold") == fold.folds)
+        scores.append(score_variants(train, long_predictions(mine, grid), "trees", fold.folds))
+    return cut_lineage(stack(scores))
+
+
 def ensemble(global_forecast: DataFrame, store_forecast: DataFrame) -> DataFrame:
     """Equal mean of two forecasts; they must cover the same rows, each once."""
     one = global_forecast.withColumnRenamed("prediction", "pred_global")
@@ -337,17 +369,6 @@ def with_stop_rows(train: DataFrame, days: int = HORIZON, name: str = "stop_row"
     return train.withColumn(name, F.col("date") > F.date_sub(last, days))
 
 
-def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
-    """Number of the round of the smallest error, once `patience` rounds in a row have not bettered it."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 def early_stopped(
     train: DataFrame,
     valid: DataFrame,
@@ -356,22 +377,27 @@ def early_stopped(
     max_trees: int,
     seeds: Sequence[int] = (1, 2, 3),
     patience: int = PATIENCE,
-) -> tuple[DataFrame, list[int]]:
-    """Forecasts per seed by the trees up to the best round on the training tail.
+    workers: int = WORKERS,
+) -> tuple[DataFrame, list[Boosted]]:
+    """Forecasts per seed by the trees up to the best round on the training tail, and the fits.
 
-    All `max_trees` are fitted on the rows before the tail; their prefixes are scored on it.
+    Boosting ends with the block in which `patience` rounds on the tail have gone by without a smaller error, so no more
+    than a block and the patience beyond the best round are fitted. Seeds run side by side.
     """
-    marked = prepare(with_stop_rows(train), names)
+    marked = with_stop_rows(train)
     earlier, tail = marked.where("NOT stop_row"), marked.where("stop_row")
-    target = prepare(valid, names)
-    parts, counts = [], []
-    for seed in seeds:
-        *stages, boosted = fit(tree_pipeline(names, {**params, "seed": seed}, max_trees), earlier).stages
-        held_out = PipelineModel(stages=stages).transform(tail).select("label", FEATURES_COLUMN)
-        counts.append(best_round(boosted.evaluateEachIteration(held_out, "squared"), patience))
-        model = PipelineModel(stages=[*stages, first_trees(boosted, counts[-1])])
-        parts.append(predict(model, target).withColumn("seed", F.lit(seed)))
-    return stack(parts), counts
+    inputs = tree_inputs(earlier, names, int(params["max_bin"]))
+    digest = boosting.fingerprint(earlier, [*names, "sales"])
+    vectors, held_out, target = inputs.vectors(earlier), inputs.vectors(tail), inputs.vectors(valid, *OUTPUT)
+
+    def one(seed: int) -> Boosted:
+        mine = {**params, "seed": seed}
+        folder = boosting.fit_folder(train.sparkSession, digest, mine, "stops")
+        return boosting.fit(vectors, mine, max_trees, stop_rows=held_out, patience=patience, folder=folder)
+
+    fits = side_by_side(train.sparkSession, [lambda s=s: one(s) for s in seeds], workers)
+    parts = [never_negative(f.forecast(target, "_trees"), "_trees").withColumn("seed", F.lit(s)) for s, f in zip(seeds, fits)]
+    return stack(parts), fits
 
 
 def seed_mean(train: DataFrame, per_seed: DataFrame, counts: Sequence[int]) -> dict[str, float]:
@@ -393,6 +419,18 @@ def draw(space: Mapping[str, tuple], generator: random.Random) -> dict[str, floa
     return setting
 
 
+def _tree_trial(train, valid, names, setting, start, max_trees, seeds) -> tuple[float, int]:
+    per_seed, fits = early_stopped(train, valid, names, {**start, **setting}, max_trees, seeds)
+    result = seed_mean(train, per_seed, [f.used for f in fits])
+    return result["wrmsse"], result["trees"]
+
+
+def _glm_trial(train, valid, names, setting) -> tuple[float, None]:
+    learner = glm(setting["tweedie_variance_power"], setting["lambda_l2"])
+    found = fit_predict(train, valid, names, learner)[1].withColumn("model", F.lit("glm"))
+    return score_variants(train, found, "model").first()["wrmsse"], None
+
+
 def random_search(
     rows: DataFrame,
     folds: Sequence[Fold],
@@ -400,84 +438,73 @@ def random_search(
     n_trials: int,
     max_trees: int,
     *,
+    learners: Sequence[str] = ("trees", "glm"),
     start: Mapping[str, float] = GLOBAL_TREES,
-    space: Mapping[str, tuple] = SEARCH_SPACE,
     seeds: Sequence[int] = (1, 2, 3),
     warm_up: int = 10,
     seed: int = 42,
 ) -> DataFrame:
-    """Trials (number, mean score, state, settings) over random settings, the current ones first.
+    """Trials (learner, number, mean score, state, settings): for each learner random settings of its own ranges.
 
-    After `warm_up` complete trials, a trial whose running mean is above the median of the earlier
-    trials at the same fold is stopped. The Tweedie power and the L2 weight of the range apply to
-    learners that have them; boosted trees here do not.
+    The first trial takes the current settings. After `warm_up` complete trials of a learner, one whose running mean is
+    above the median of the earlier trials at the same fold is stopped. Settings that a learner doesn't read are NULL
+    on its rows.
     """
-    generator = random.Random(seed)
-    history: list[list[float]] = []
+    spaces = {"trees": TREE_SPACE, "glm": GLM_SPACE}
+    columns = [*TREE_SPACE, *GLM_SPACE]
     table = []
-    for number in range(n_trials):
-        setting = (
-            {k: start[k] for k in space if k in start} if number == 0 else draw(space, generator)
-        )
-        running: list[float] = []
-        trees: list[int] = []
-        state = "complete"
-        for fold in folds:
-            train, valid = split(rows, fold)
-            per_seed, counts = early_stopped(
-                train, valid, names, {**start, **setting}, max_trees, seeds
-            )
-            result = seed_mean(train, per_seed, counts)
-            trees.append(int(result["trees"]))
-            running.append(
-                (sum(running[-1:]) * len(running) + result["wrmsse"]) / (len(running) + 1)
-            )
-            step = len(running) - 1
-            earlier = [h[step] for h in history if len(h) > step]
-            if len(history) >= warm_up and earlier and running[-1] > statistics.median(earlier):
-                state = "stopped"
-                break
-        if state == "complete":
-            history.append(running)
-        table.append(
-            (
-                number,
-                state,
-                float(running[-1]),
-                int(statistics.fmean(trees)),
-                *[float(setting.get(k, float("nan"))) for k in space],
-            )
-        )
-    columns = ", ".join(f"{k} double" for k in space)
-    return rows.sparkSession.createDataFrame(
-        table, f"number int, state string, wrmsse double, trees int, {columns}"
-    )
-
-
-def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """Gain and split shares in percent of a boosted-tree pipeline, largest gain first."""
-    boosted = model.stages[-1]
-    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
-    names = [n.removesuffix("_code") for n in assembler.getInputCols()]
-    gains = boosted.featureImportances.toArray()
-    splits = [0] * len(names)
-    # Each inner node prints one If line and one Else line.
-    for index in re.findall(r"If \(feature (\d+)", boosted.toDebugString):
-        splits[int(index)] += 1
-    total_gain, total_splits = float(gains.sum()) or 1.0, sum(splits) or 1
-    rows = [
-        (n, float(g), s, float(g) / total_gain * 100, s / total_splits * 100)
-        for n, g, s in zip(names, gains, splits)
-    ]
+    for kind in learners:
+        generator, history, space = random.Random(seed), [], spaces[kind]
+        for number in range(n_trials):
+            current = {k: start.get(k, low) for k, (low, _, _) in space.items()}
+            setting = current if number == 0 else draw(space, generator)
+            running: list[float] = []
+            trees: list[int | None] = []
+            state = "complete"
+            for fold in folds:
+                train, valid = split(rows, fold)
+                if kind == "trees":
+                    score, used = _tree_trial(train, valid, names, setting, start, max_trees, seeds)
+                else:
+                    score, used = _glm_trial(train, valid, names, setting)
+                trees.append(used)
+                running.append((sum(running[-1:]) * len(running) + score) / (len(running) + 1))
+                step = len(running) - 1
+                earlier = [h[step] for h in history if len(h) > step]
+                if len(history) >= warm_up and earlier and running[-1] > statistics.median(earlier):
+                    state = "stopped"
+                    break
+            if state == "complete":
+                history.append(running)
+            mean_trees = int(statistics.fmean(trees)) if kind == "trees" else None
+            table.append((kind, number, state, float(running[-1]), mean_trees, *[float(setting[k]) if k in setting else None for k in columns]))
+    typed = ", ".join(f"{k} double" for k in columns)
+    return rows.sparkSession.createDataFrame(table, f"learner string, number int, state string, wrmsse double, trees int, {typed}")
+
+
+def feature_importance(spark: SparkSession, names: Sequence[str], model: Boosted, top: int | None = None) -> DataFrame:
+    """Gain and split shares in percent of boosted trees, largest gain first, all inputs or the `top` ones."""
+    found = model.importance()
+    total_gain, total_splits = sum(g for g, _ in found) or 1.0, sum(s for _, s in found) or 1
+    rows = [(n, float(g), s, float(g) / total_gain * 100, s / total_splits * 100) for n, (g, s) in zip(names, found)]
     columns = "feature string, gain double, split int, gain_pct double, split_pct double"
-    return spark.createDataFrame(rows, columns).orderBy(F.desc("gain"), "feature")
+    out = spark.createDataFrame(rows, columns).orderBy(F.desc("gain"), "feature")
+    return out if top is None else out.limit(top)
 
 
 def unused_features(importance: DataFrame) -> DataFrame:
     return importance.where((F.col("split") == 0) | (F.col("gain") == 0)).select("feature")
 
 
-def score_stored_model(path: str, train: DataFrame, test: DataFrame, names: Sequence[str]):
-    """Load a fitted pipeline, forecast the hold-out and score it."""
+def score_stored_model(path: str, train: DataFrame, test: DataFrame, names: Sequence[str], where: str | None = None) -> DataFrame:
+    """Load a fitted linear model, forecast the hold-out, or the rows of it that `where` names, and score them."""
     model = PipelineModel.load(path)
-    return scoring.score(train, predict(model, prepare(test, names)))
+    test = test.where(where) if where else test
+    return scoring.score(train, predict(model, test, names))
+
+
+def score_stored_trees(folder: str, train: DataFrame, test: DataFrame, names: Sequence[str], rounds: int, where: str | None = None) -> DataFrame:
+    """The same for a stored fit of boosted trees on `train`; fails where it has fewer rounds."""
+    inputs, model = tree_inputs(train, names), boosting.stored(train.sparkSession, folder, rounds)
+    test = test.where(where) if where else test
+    return scoring.score(train, never_negative(model.forecast(inputs.vectors(test, *OUTPUT), "_trees"), "_trees"))

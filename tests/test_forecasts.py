@@ -5,9 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from stocktide.config import HIERARCHY_LEVELS
+from stocktide.config import FEATURE_GROUPS, HIERARCHY_LEVELS
 from stocktide.operators import hierarchy, ranking, scoring
-from stocktide.plans import baselines, errors, models, reports, validation
+from stocktide.plans import baselines, boosting, errors, models, reports, validation
 
 
 @pytest.fixture(scope="module")
@@ -165,36 +165,144 @@ def model_rows(make_panel):
     return validation.holdout(panel.withColumn("lag", (F.col("item_id") == "i2").cast("int")))
 
 
-def test_trees_beat_naive_and_prefix_sums_are_the_model(model_rows):
-    train, valid = model_rows
-    pipeline = models.tree_pipeline(NAMES, SMALL)
-    model = models.fit(pipeline, models.prepare(train, NAMES))
-    target = models.prepare(valid, NAMES)
-    full = models.predict(model, target)
-    prefix = models.with_tree_counts(model, target, [1, 4])
-    both = full.join(prefix.select("item_id", "store_id", "date", "pred_4"), ["item_id", "store_id", "date"])
-    assert both.where(F.abs(F.col("prediction") - F.col("pred_4")) > 1e-9).count() == 0
-    naive = scoring.score(train, baselines.naive_forecast(train, valid)).first()[0]
-    assert scoring.score(train, full).first()[0] < naive
-    scores = {r["trees"]: r["wrmsse"] for r in models.score_variants(
-        train, models.long_predictions(prefix, [1, 4]), "trees").collect()}
-    assert scores[4] < scores[1]
+@pytest.fixture
+def small_blocks(monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK", 3)
 
 
-def test_store_models_and_ensemble(spark, model_rows):
+def test_trees_beat_naive_and_any_prefix_is_a_model(model_rows, small_blocks):
     train, valid = model_rows
+    inputs = models.tree_inputs(train, NAMES)
+    vectors = inputs.vectors(train)
+    model = boosting.fit(vectors, SMALL, 8)
+    assert [b.getNumTrees for b in model.blocks] == [3, 3, 2] and model.used == 8
+    wide = models.with_tree_counts(inputs, model, valid, [2, 3, 7, 8, 99])
+    for n in (3, 8):  # ends of blocks, against a fit of so many rounds
+        alone = models.never_negative(boosting.fit(vectors, SMALL, n).forecast(inputs.vectors(valid, *models.OUTPUT), "_t"), "_t")
+        both = wide.join(alone, ["item_id", "store_id", "date"])
+        assert both.where(F.abs(F.col("prediction") - F.col(f"pred_{n}")) > 1e-9).count() == 0
+    trees = model.blocks[0].trees
+    first_two = trees[1].setPredictionCol("b").transform(trees[0].setPredictionCol("a").transform(inputs.vectors(valid, *models.OUTPUT)))
+    by_hand = first_two.select(*models.KEYS, (F.col("a") + F.col("b") * model.blocks[0].treeWeights[1]).alias("sum"))
+    both = wide.join(by_hand, models.KEYS)
+    assert both.where(F.abs(F.greatest(F.col("sum"), F.lit(0.0)) - F.col("pred_2")) > 1e-9).count() == 0
+    assert wide.where("pred_8 <> pred_99").count() == 0
+    naive = scoring.score(train, baselines.naive_forecast(train, valid)).first()[0]
+    scores = {r["trees"]: r["wrmsse"] for r in models.score_variants(train, models.long_predictions(wide, [2, 8]), "trees").collect()}
+    assert scores[8] < naive and scores[8] < scores[2]
 
-    def make(names):
-        return models.tree_pipeline(names, SMALL, 2)
 
-    stores = models.store_forecasts(train, valid, NAMES, make, workers=2)
-    assert stores.count() == valid.count()
-    combined = models.ensemble(models.fit_predict(train, valid, NAMES, make)[1], stores)
+def test_a_stored_fit_is_taken_up(spark, model_rows, small_blocks, tmp_path):
+    train, valid = model_rows
+    inputs = models.tree_inputs(train, NAMES)
+    vectors, folder = inputs.vectors(train), str(tmp_path / "fit")
+    boosting.fit(vectors, SMALL, 3, folder=folder)
+    longer = boosting.fit(vectors, SMALL, 6, folder=folder)
+    again = boosting.fit(vectors, SMALL, 6, folder=folder)
+    whole = boosting.fit(vectors, SMALL, 6)
+    assert [b.uid for b in again.blocks] == [b.uid for b in longer.blocks] and len(longer.blocks) == 2
+    target = inputs.vectors(valid, *models.OUTPUT)
+    found = again.forecast(target, "a").join(whole.forecast(target, "b").select(*models.KEYS, "b"), models.KEYS)
+    assert found.where(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0
+    assert boosting.fit(vectors, SMALL, 2, folder=folder).used == 2  # fewer rounds of the same fit
+    other = valid.withColumn("sales", F.col("sales") + F.col("day_of_week"))
+    score = models.score_stored_trees(folder, train, other, NAMES, 6).first()[0]
+    some = models.score_stored_trees(folder, train, other, NAMES, 6, "day_of_week < 4").first()[0]
+    assert score > 0 and some > 0 and score != some
+    with pytest.raises(ValueError, match="holds 6 rounds"):
+        models.score_stored_trees(folder, train, valid, NAMES, 60)
+    one, other = boosting.fingerprint(train, NAMES), boosting.fingerprint(train.where("d > 5"), NAMES)
+    assert one == boosting.fingerprint(train.repartition(5), NAMES) != other
+    names = {boosting.fit_folder(spark, d, p) for d in (one, other) for p in (SMALL, {**SMALL, "num_leaves": 4}, {**SMALL, "num_iterations": 9})}
+    assert len(names) == 4
+
+
+def test_boosting_stops_when_the_tail_gets_no_better(model_rows, small_blocks):
+    errors = [5.0, 4.0, 4.5, 4.2, 3.0, *[3.1] * 50, 2.0]
+    assert boosting.best_round(errors) == 5 and boosting.best_round(errors, 1) == 2 and boosting.best_round([2.0]) == 1
+    assert boosting.best_round(errors, 60) == len(errors)
+    train, valid = model_rows
+    marked = models.with_stop_rows(train)
+    noisy = marked.withColumn("sales", F.when(F.col("stop_row"), F.lit(1)).otherwise(F.col("sales")))
+    inputs = models.tree_inputs(noisy.where("NOT stop_row"), NAMES)
+    fitted, tail = inputs.vectors(noisy.where("NOT stop_row")), inputs.vectors(noisy.where("stop_row"), "item_id")
+    model = boosting.fit(fitted, SMALL, 300, stop_rows=tail, patience=4)
+    assert model.rounds <= model.used + boosting.BLOCK + 4 < 300
+    wide = model.staged(tail, range(1, model.rounds + 1), models.pred)
+    by_hand = wide.agg(*[F.avg((F.col("label") - F.col(models.pred(n))) ** 2) for n in range(1, model.rounds + 1)]).first()
+    plain = [e for e in model.errors]
+    assert len(plain) == model.rounds and model.used == min(range(len(plain)), key=lambda k: plain[k]) + 1
+    assert by_hand[model.used - 1] == pytest.approx(plain[model.used - 1], abs=1e-6)
+    found, fits = models.early_stopped(train, valid, NAMES, SMALL, 6, (1, 2))
+    assert found.count() == 2 * valid.count() and all(1 <= f.used <= 6 for f in fits)
+
+
+def test_store_models_and_ensemble(spark, model_rows, small_blocks):
+    train, valid = model_rows
+    stores = models.store_forecasts(train, valid, NAMES, SMALL, 2, workers=2)
+    assert stores.count() == valid.count() and stores.columns == [*models.OUTPUT, "prediction"]
+    alone = models.tree_forecast(train.where("store_id = 's1'"), valid.where("store_id = 's1'"), NAMES, SMALL, 2)
+    both = stores.join(alone.select(*models.KEYS, F.col("prediction").alias("alone")), models.KEYS)
+    assert both.count() == alone.count() and both.where(F.abs(F.col("prediction") - F.col("alone")) > 1e-9).count() == 0
+    grid = models.store_forecasts(train, valid, NAMES, SMALL, 4, (1, 4))
+    assert grid.columns == [*models.OUTPUT, "pred_1", "pred_4"]
+    combined = models.ensemble(models.tree_forecast(train, valid, NAMES, SMALL, 2), stores)
     row = combined.first()
     assert row["prediction"] == pytest.approx((row["pred_global"] + row["pred_store"]) / 2)
     assert models.ensemble_scores(train, combined).count() == 3
-    importance = models.feature_importance(spark, models.fit(make(NAMES), models.prepare(train, NAMES)))
+    importance = models.feature_importance(spark, NAMES, models.fit_trees(train, NAMES, SMALL, 4)[1])
     assert importance.agg(F.sum("gain_pct")).first()[0] == pytest.approx(100)
+    top = models.feature_importance(spark, NAMES, models.fit_trees(train, NAMES, SMALL, 4)[1], top=1).collect()
+    assert len(top) == 1 and top[0]["gain"] == importance.agg(F.max("gain")).first()[0]
+
+
+def test_folds_of_store_models(model_rows, small_blocks):
+    train, _ = model_rows
+    folds = validation.folds_of(train, 2, 7)
+    found = models.store_out_of_fold(train, folds, NAMES, SMALL, (1, 2))
+    assert {(r.fold, r["count"]) for r in found.groupBy("fold").count().collect()} == {(1, 28), (2, 28)}
+    assert models.store_tree_scores(train, folds, found, (1, 2)).count() == 4
+    assert models.tree_count_scores(train, folds, (1, 2), NAMES, SMALL).count() == 4
+
+
+def test_linear_inputs_tell_unknown_from_none_and_leave_out_constants(spark, model_rows):
+    train, _ = model_rows
+    rows = train.withColumns({
+        "lag": F.when(F.col("d") > 40, F.col("lag")), "fixed": F.lit(3.0), "weekday": F.date_format("date", "EEEE"),
+    })
+    inputs = models.glm_inputs(rows, ["lag", "fixed", "weekday", "item_id", "store_id"], id_width=16)
+    assert inputs.places["fixed"] == [] and len(inputs.places["lag"]) == 2 and len(inputs.places["weekday"]) == 7
+    assert 1 <= len(inputs.places["item_id"]) <= 2
+    made = inputs.vectors(rows, "d", "item_id")
+    size = sum(map(len, inputs.places.values()))
+    one = {(r.d, r.item_id): r.features.toArray().tolist() for r in made.where("d IN (40, 41) AND store_id = 's1'" if "store_id" in made.columns else "d IN (40, 41)").collect()}
+    assert all(len(v) == size for v in one.values())
+    at = inputs.places["lag"]
+    assert [one[40, "i2"][i] for i in at] == [0.0, 1.0] and [one[41, "i1"][i] for i in at] == [0.0, 0.0] and one[41, "i2"][at[0]] > 0
+    assert inputs.without(["weekday", "fixed"]) == sorted(inputs.places["lag"] + inputs.places["item_id"] + inputs.places["store_id"])
+
+
+def test_group_drops_slice_one_vector(model_rows):
+    train, _ = model_rows
+    names = [*NAMES, "item_id"]
+    folds = validation.folds_of(train, 1, 14)
+    drops = models.group_drops({"ids": ("item_id",), "lags": ("lag",), "other": ("snap",)}, names)
+    assert list(drops) == ["baseline", "ids_dropped", "lags_dropped"]
+    assert "ids_dropped" in models.group_drops() and len(models.group_drops()) == 1 + len(FEATURE_GROUPS) - 1  # year is excluded
+    scores = {r.model: r.wrmsse for r in models.cross_validate(train, folds, drops, names).collect()}
+    part, valid = validation.split(train, folds[0])
+    for model, kept in (("baseline", names), ("ids_dropped", NAMES)):
+        alone = models.fit_predict(part, valid, kept)[1].withColumn("model", F.lit(model))
+        assert scores[model] == pytest.approx(models.score_variants(part, alone, "model").first()["wrmsse"], rel=1e-6)
+
+
+def test_search_reports_what_learners_read(model_rows, small_blocks):
+    train, _ = model_rows
+    found = models.random_search(train, validation.folds_of(train, 1, 14), NAMES, 2, 3, start={**SMALL, "tweedie_variance_power": 1.1}, seeds=(1,))
+    rows = {(r.learner, r.number): r for r in found.collect()}
+    assert set(rows) == {("trees", 0), ("trees", 1), ("glm", 0), ("glm", 1)}
+    assert rows["trees", 0].num_leaves == 8 and rows["trees", 1].lambda_l2 is None and rows["trees", 0].trees >= 1
+    assert rows["glm", 0].tweedie_variance_power == 1.1 and rows["glm", 1].num_leaves is None and rows["glm", 1].trees is None
 
 
 def test_model_queries_take_the_settings(monkeypatch):
@@ -202,7 +310,6 @@ def test_model_queries_take_the_settings(monkeypatch):
 
     from stocktide import config
     from stocktide.catalog import model_queries as q
-    from stocktide.plans import models, reports, validation
 
     seen = {}
     windows = lambda rows, n=config.N_FOLDS: validation.make_folds(date(2015, 1, 1), date(2016, 12, 31), n)
@@ -210,12 +317,12 @@ def test_model_queries_take_the_settings(monkeypatch):
     monkeypatch.setattr(q, "split", lambda spark, folder: ("train", "test"))
     monkeypatch.setattr(q, "cut_lineage", lambda df: df)
     monkeypatch.setattr(validation, "folds_of", windows)
-    for name in ("tree_count_scores", "cross_validate", "random_search"):
+    for name in ("tree_count_scores", "cross_validate", "random_search", "store_forecasts", "store_out_of_fold", "tree_forecast", "store_tree_scores"):
         monkeypatch.setattr(models, name, lambda *a, name=name, **k: seen.update({name: (a, k)}))
-    monkeypatch.setattr(models, "early_stopped", lambda *a: seen.update(early_stopped=(a, {})) or (None, None))
+    monkeypatch.setattr(models, "early_stopped", lambda *a: seen.update(early_stopped=(a, {})) or (None, [boosting.Boosted([], 0)]))
     monkeypatch.setattr(models, "seed_mean", lambda *a: {"wrmsse": 0.0, "trees": 0})
-    monkeypatch.setattr(models, "group_drop_variants", lambda: {})
-    monkeypatch.setattr(models, "tree_pipeline", lambda names, params, *a: seen.setdefault("trees", []).append((params, a)))
+    monkeypatch.setattr(models, "ensemble", lambda *a: None)
+    monkeypatch.setattr(models, "ensemble_scores", lambda *a: None)
     for name in ("tree_report", "cv_report"):
         monkeypatch.setattr(reports, name, lambda scores, folds, name=name: seen.update({name: folds}))
 
@@ -223,29 +330,17 @@ def test_model_queries_take_the_settings(monkeypatch):
         def createDataFrame(self, rows, schema):
             return rows
 
-    for name in ("tree_grid", "group_drop", "hyper_search", "early_stopping"):
+    for name in ("tree_grid", "store_tree_grid", "group_drop", "hyper_search", "early_stopping", "store_models", "ensemble_models", "gbt_forecast"):
         q.queries()[name](Session(), "folder")
-    q.trees([])
-    q.store_trees([])
-    for name in ("tree_count_scores", "cross_validate", "random_search"):
+    for name in ("tree_count_scores", "cross_validate", "random_search", "store_out_of_fold"):
         assert [f.folds for f in seen[name][0][1]] == [1, 2, 3]
+    full = models.default_features()
+    assert len(full) == 58 and set(models.IDS) <= set(full) | {"year"}
     assert seen["tree_count_scores"][0][2] == config.TREE_GRID and not seen["tree_count_scores"][1]
+    assert seen["store_out_of_fold"][0][2:] == (full, config.STORE_TREES, config.STORE_TREE_GRID)
+    assert seen["store_forecasts"][0] == ("train", "test", full, config.STORE_TREES, 200)
+    assert seen["tree_forecast"] == (("train", "test", full), {})
     assert seen["tree_report"] == seen["cv_report"] == [1, 2, 3]
-    assert seen["trees"] == [(config.GLOBAL_TREES, ()), (config.STORE_TREES, ())]
     assert seen["random_search"][0][3:] == (config.N_TRIALS, 3000) and config.N_TRIALS > 10
     assert seen["random_search"][1] == {"seeds": (1, 2, 3)}
     assert seen["early_stopped"][0][3:] == (config.GLOBAL_TREES, 3000, (1, 2, 3))
-
-
-def test_early_stopping_waits_for_a_later_best_round(model_rows):
-    errors = [5.0, 4.0, 4.5, 4.2, 3.0, *[3.1] * 50, 2.0]
-    assert models.best_round(errors) == 5 and models.best_round(errors, 1) == 2 and models.best_round([2.0]) == 1
-    assert models.best_round(errors, 60) == len(errors)
-    train, valid = model_rows
-    found, counts = models.early_stopped(train, valid, NAMES, SMALL, 4, (1, 2))
-    assert found.count() == 2 * valid.count() and all(1 <= n <= 4 for n in counts)
-    marked = models.prepare(models.with_stop_rows(train), NAMES)
-    model = models.fit(models.tree_pipeline(NAMES, SMALL, 4), marked.where("NOT stop_row"))
-    wide = models.with_tree_counts(model, marked.where("stop_row"), [1, 2, 3, 4])
-    errors = wide.agg(*[F.avg((F.col("sales") - F.col(f"pred_{n}")) ** 2) for n in (1, 2, 3, 4)]).first()
-    assert counts[0] == min(range(4), key=lambda k: errors[k]) + 1
