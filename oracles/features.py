@@ -8,6 +8,9 @@ PRICED = "priced AS (SELECT * FROM panel WHERE sell_price IS NOT NULL)"
 S = "PARTITION BY item_id, store_id"
 W = f"{S} ORDER BY date"
 
+#: A number from 0 up to 1 by the MD5 of a key.
+DRAW = "(CAST('0x' || substr(md5({key}), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496)"
+
 
 def frame(size):
     return f"OVER ({W} ROWS BETWEEN {28 + size - 1} PRECEDING AND 28 PRECEDING)"
@@ -250,7 +253,24 @@ SELECT * FROM (
   FROM launched WHERE sell_price IS NULL AND wm_yr_wk < launch_week
   UNION ALL
   SELECT 'no_null_price_after_launch', 'silver', count(*) = 0, count(*)
-  FROM launched WHERE sell_price IS NULL AND wm_yr_wk >= launch_week)"""),
+  FROM launched WHERE sell_price IS NULL AND wm_yr_wk >= launch_week
+  UNION ALL
+  SELECT 'row_count', 'silver', n = expected, abs(n - expected)
+  FROM (SELECT count(*) AS n, count(DISTINCT (item_id, store_id)) * (date_diff('day', min(date), max(date)) + 1) AS expected
+        FROM panel))"""),
+        "sample_strata": on_panel(f"""
+SELECT item_id, store_id, date, sales FROM panel
+WHERE {DRAW.format(key="'7|' || item_id || '|' || store_id")} < CASE cat_id WHEN 'CAT_A' THEN 0.02 WHEN 'CAT_B' THEN 0.05 ELSE 0.1 END"""),
+        "sample_orders": f"""
+SELECT l_orderkey, count(*) AS lines, CAST(sum(l_quantity) AS BIGINT) AS units FROM lineitem
+WHERE {DRAW.format(key="'3|' || l_orderkey")} < 0.05 GROUP BY l_orderkey""",
+        "sample_series": on_panel(f"""
+SELECT cat_id, item_id, store_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY cat_id ORDER BY {DRAW.format(key="'11|' || item_id || '|' || store_id")}, item_id, store_id) AS no
+  FROM (SELECT DISTINCT cat_id, item_id, store_id FROM panel)) WHERE no <= 5"""),
+        "append_conflicts": on_panel("""
+SELECT year(date)::INT AS year, count(*) AS rows, CAST(sum(units + CASE WHEN year(date) > last THEN 1000 ELSE 0 END) AS BIGINT) AS units, mode
+FROM daily, (SELECT year(max(date)) - 2 AS last FROM daily), (VALUES ('two runs'), ('one run')) AS m(mode) GROUP BY ALL"""),
         "dq_raw_tables": on_panel("""
 SELECT * FROM (
   SELECT 'not_empty' AS "check", 'lineitem' AS level, count(*) > 0 AS passed,

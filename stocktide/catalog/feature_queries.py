@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from stocktide.config import ENCODINGS, PANEL_COLUMNS
 from stocktide.catalog.panel_queries import rounded, series_ids
 from stocktide.operators import features as f
-from stocktide.operators import joins, quality, series
+from stocktide.operators import joins, quality, sampling, series
 from stocktide.operators.narrowing import narrowest_types
 from stocktide.plans import eda, gold, ingestion
+from stocktide.session import shared_folder
 from stocktide.sources import bronze
 from stocktide.sources import star_schema as star
+from stocktide.streaming import append
 
 SPREADS = [f"enc_{n}_std" for n in ENCODINGS]
 TRENDS = [
@@ -70,6 +73,53 @@ def _panel_from_raw_tables(spark, folder):
     )
 
 
+def _panel_checks(spark, folder):
+    """All checks of the panel, with the row count that series and days make up."""
+    series = star.daily_sales(spark, folder).select("item_id", "store_id").distinct().count()
+    return quality.panel_checks(star.sales_panel(spark, folder), series * panel_days(spark, folder)[0])
+
+
+SAMPLE_SHARES = {"CAT_A": 0.02, "CAT_B": 0.05}
+
+
+def _strata(spark, folder):
+    """Series of each category by its share, with all their rows."""
+    sampled = sampling.sample_strata(star.sales_panel(spark, folder), ["item_id", "store_id"], "cat_id", SAMPLE_SHARES, 0.1, seed=7)
+    return sampled.select("item_id", "store_id", "date", "sales")
+
+
+def _lines(spark, folder):
+    """A share of the orders, each with all its lines."""
+    lines = star.table(spark, folder, "lineitem")
+    return sampling.sample(lines, ["l_orderkey"], 0.05, seed=3).groupBy("l_orderkey").agg(
+        F.count("*").alias("lines"), F.sum("l_quantity").cast("long").alias("units")
+    )
+
+
+def _some_series(spark, folder):
+    return sampling.smallest_of_each(star.sales_panel(spark, folder), ["item_id", "store_id"], "cat_id", 5, seed=11)
+
+
+def _appended(spark, folder):
+    """Daily sales that arrive in two files which disagree on a year, each twice, in two runs and in one.
+
+    The rows of the file that came first stay in either case.
+    """
+    daily = star.daily_sales(spark, folder).select("item_id", "store_id", "date", "sales", F.year("date").alias("year"))
+    cut = panel_days(spark, folder)[1].year - 2
+    first, second = daily.where(F.col("year") <= cut), daily.where(F.col("year") >= cut).withColumn("sales", F.col("sales") + 1000)
+    found = []
+    for mode in ("two runs", "one run"):
+        base = f"{shared_folder(spark).rstrip('/')}/appended/{uuid.uuid4().hex}"
+        for number, part in enumerate((first, second, first, second)):
+            part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+            if mode == "two runs" or number == 3:
+                append.append_new_files(spark, f"{base}/in", daily.schema, f"{base}/panel", f"{base}/marks")
+        held = spark.read.parquet(f"{base}/panel").groupBy(F.col("year").cast("int").alias("year"))
+        found.append(held.agg(F.count("*").alias("rows"), F.sum("sales").cast("long").alias("units")).withColumn("mode", F.lit(mode)))
+    return found[0].unionByName(found[1])
+
+
 def _narrow_types(spark, folder):
     chosen = narrowest_types(star.table(spark, folder, "lineitem"))
     return spark.createDataFrame(list(chosen.items()), "column_name string, storage_type string")
@@ -132,7 +182,11 @@ def queries():
             star.sales_panel(s, p), ["item_id", "store_id", "date", "sales", "sell_price"]
         ),
         "dead_series": lambda s, p: rounded(quality.dead_series(star.sales_panel(s, p)), "spread"),
-        "dq_panel": lambda s, p: quality.panel_checks(star.sales_panel(s, p)),
+        "dq_panel": _panel_checks,
+        "sample_strata": _strata,
+        "sample_orders": _lines,
+        "sample_series": _some_series,
+        "append_conflicts": _appended,
         "dq_raw_tables": _raw_table_checks,
         "dq_broken_series": lambda s, p: quality.broken_series(star.daily_sales(s, p)),
         "dq_negative_balance": lambda s, p: star.table(s, p, "customer")

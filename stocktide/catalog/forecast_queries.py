@@ -7,7 +7,9 @@ in SQL.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.catalog.feature_queries import panel_days, training_years
@@ -34,11 +36,23 @@ def history(spark, folder):
 
 
 def fold_frames(rows, n_folds=3):
+    """The last training days and the validation rows of all folds; the history isn't copied."""
     folds = validation.folds_of(rows, n_folds)
-    return (
-        validation.all_folds(rows, folds, validation.train_part),
-        validation.all_folds(rows, folds, validation.valid_part),
-    )
+    return validation.recent_windows(rows, folds), validation.valid_windows(rows, folds)
+
+
+def fold_bases(rows, n_folds=3):
+    """Scales and weights of all folds, stored: a row per series, level and fold."""
+    folds = validation.folds_of(rows, n_folds)
+    scales = hierarchy.level_scales_at(rows, validation.ends(folds))
+    weights = hierarchy.level_weights(validation.recent_windows(rows, folds), by=BY_FOLD)
+    return cut_lineage(scales.join(weights, ["level", "series_id", *BY_FOLD]))
+
+
+def scored(rows, bases, forecast, n_folds=3):
+    recent, valid = fold_frames(rows, n_folds)
+    found = bases.join(hierarchy.level_errors(forecast(recent, valid, BY_FOLD), by=BY_FOLD), ["level", "series_id", *BY_FOLD])
+    return scoring.wrmsse(scoring.weighted_levels(found, by=BY_FOLD), BY_FOLD)
 
 
 def split(spark, folder):
@@ -83,27 +97,16 @@ def profile(spark, folder, squared=False):
 
 
 def fold_scores(rows, forecast, n_folds=3):
-    train, valid = fold_frames(rows, n_folds)
-    return scoring.score(train, forecast(train, valid, BY_FOLD), by=BY_FOLD)
+    return scored(rows, fold_bases(rows, n_folds), forecast, n_folds)
 
 
 def both_scores(spark, folder):
     """Fold scores of the two baselines in long form; a handful of rows, stored once."""
     rows = history(spark, folder)
-    train, valid = fold_frames(rows)
-    scales = cut_lineage(hierarchy.level_scales(train, by=BY_FOLD))
-    weights = cut_lineage(hierarchy.level_weights(train, by=BY_FOLD))
-    parts = []
-    for model, forecast in (
-        (reports.BASELINE, baselines.naive_forecast),
-        ("seasonal", baselines.seasonal_forecast),
-    ):
-        found = scoring.series_metrics(
-            train, forecast(train, valid, BY_FOLD), scales=scales, weights=weights, by=BY_FOLD
-        )
-        score = scoring.wrmsse(scoring.weighted_levels(found, by=BY_FOLD), BY_FOLD)
-        parts.append(score.withColumn("model", F.lit(model)))
-    return cut_lineage(parts[0].unionByName(parts[1]))
+    bases = fold_bases(rows)
+    models = {reports.BASELINE: baselines.naive_forecast, "seasonal": baselines.seasonal_forecast}
+    parts = [scored(rows, bases, forecast).withColumn("model", F.lit(model)) for model, forecast in models.items()]
+    return cut_lineage(reduce(DataFrame.unionByName, parts))
 
 
 def _folds(spark, folder):
@@ -112,19 +115,12 @@ def _folds(spark, folder):
 
 
 def _fold_rows(spark, folder):
-    train, valid = fold_frames(history(spark, folder))
-    return (
-        train.groupBy("fold")
-        .agg(F.count("*").alias("train_rows"))
-        .join(
-            valid.groupBy("fold").agg(
-                F.count("*").alias("valid_rows"),
-                F.min("date").alias("valid_start"),
-                F.max("date").alias("valid_end"),
-            ),
-            "fold",
-        )
+    rows = history(spark, folder)
+    folds = validation.folds_of(rows)
+    valid = validation.valid_windows(rows, folds).groupBy("fold").agg(
+        F.count("*").alias("valid_rows"), F.min("date").alias("valid_start"), F.max("date").alias("valid_end")
     )
+    return validation.train_sizes(rows, folds).join(valid, "fold")
 
 
 def _holdout_rows(spark, folder):

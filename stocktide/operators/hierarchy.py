@@ -1,13 +1,18 @@
 """Daily sales at the twelve aggregation levels, and the scale, error and weight of each series.
 
-The levels are built along a lattice instead of expanding every row twelve times. The series level
-is the input itself; item levels roll up from item by state; the nine upper levels are grouping
-sets over the small daily table of state, store, category and department.
+The levels are built along a lattice instead of expanding every row twelve times. The series level is the
+input grouped by series and day, in one shuffle by series that the windows over a series share; item levels
+roll up from item by state; the nine upper levels are grouping sets over the small daily table of state,
+store, category and department.
+
+A step between two days doesn't depend on where the training rows end, so the scales of all folds come from
+one pass over the whole history, each fold averaging the steps up to its own end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -88,23 +93,77 @@ def level_sums(
     return reduce(DataFrame.unionByName, [build(rows, names, by) for build in builders])
 
 
+def _by_series(rows: DataFrame, measures: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Daily sums per series; rows lie by series, so what follows per series needs no further shuffle."""
+    placed = rows.repartition("item_id", "store_id")
+    return placed.groupBy("item_id", "store_id", *by, "date").agg(*_sums(measures))
+
+
+def _per_series(
+    rows: DataFrame,
+    measures: Mapping[str, Column],
+    by: Sequence[str],
+    finish: Callable[[DataFrame, list[str], Column], DataFrame],
+    bottom_only: bool,
+) -> DataFrame:
+    """`finish(daily, keys, is_total)` of the daily sums at all levels, named by level and series.
+
+    `finish` returns one row per `keys`.
+    """
+    rows = rows.select("item_id", *UPPER_KEYS, *by, "date", *[c.alias(n) for n, c in measures.items()])
+    names = list(measures)
+    own = ["item_id", "store_id", *by]
+    bottom = finish(_by_series(rows, names, by), own, F.lit(False))
+    found = [c for c in bottom.columns if c not in own]
+    parts = [_named(bottom, "item_store", by, found)]
+    if not bottom_only:
+        upper = [build(rows, names, [*by, "date"]) for build in (upper_levels, item_levels)]
+        keys = ["level", "series_id", *by]
+        above = finish(reduce(DataFrame.unionByName, upper), keys, F.col("level") == "total")
+        parts.append(above.select(*keys, *found))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def with_steps(daily: DataFrame, keys: Sequence[str], every: Column) -> DataFrame:
+    """Add `step`, the squared change since the day before, once the sales before that day are positive in total.
+
+    Leading zeros so do not shrink a scale. Where `every` holds, each change counts.
+    """
+    w = Window.partitionBy(*keys).orderBy("date")
+    before = F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    change = F.col("x") - F.lag("x").over(w)
+    return daily.withColumn("step", F.when((before > 0) | every, change * change))
+
+
 def level_scales(
     train: DataFrame, value: str = "sales", by: Sequence[str] = (), bottom_only: bool = False
 ) -> DataFrame:
     """Mean squared day-over-day change of each series after its first sale.
 
-    A change counts once the sales before that day are positive in total, so leading zeros do not
-    shrink the scale. The level `total` counts every change. `by` carries further keys, such as a
-    fold number.
+    The level `total` counts every change. `by` carries further keys, such as a fold number.
     """
-    units = {"x": F.col(value).cast("double")}
-    daily = level_sums(train, units, [*by, "date"], bottom_only)
-    w = Window.partitionBy("level", "series_id", *by).orderBy("date")
-    before = F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    change = F.col("x") - F.lag("x").over(w)
-    counted = (before > 0) | (F.col("level") == "total")
-    steps = daily.withColumn("step", F.when(counted, change * change))
-    return steps.groupBy("level", "series_id", *by).agg(F.avg("step").alias("scale"))
+
+    def finish(daily: DataFrame, keys: list[str], every: Column) -> DataFrame:
+        return with_steps(daily, keys, every).groupBy(*keys).agg(F.avg("step").alias("scale"))
+
+    return _per_series(train, {"x": F.col(value).cast("double")}, by, finish, bottom_only)
+
+
+def level_scales_at(
+    rows: DataFrame, ends: Mapping[int, date], value: str = "sales", bottom_only: bool = False
+) -> DataFrame:
+    """`level_scales` of the rows up to each fold's end day, marked with the `fold`, from one pass."""
+
+    def finish(daily: DataFrame, keys: list[str], every: Column) -> DataFrame:
+        upto = {f: F.col("date") <= F.lit(end) for f, end in ends.items()}
+        scales = [
+            F.struct(F.lit(f).alias("fold"), F.avg(F.when(u, F.col("step"))).alias("scale"), F.count_if(u).alias("days"))
+            for f, u in upto.items()
+        ]
+        found = with_steps(daily, keys, every).groupBy(*keys).agg(F.array(*scales).alias("folds"))
+        return found.select(*keys, F.inline("folds")).where("days > 0").drop("days")
+
+    return _per_series(rows, {"x": F.col(value).cast("double")}, (), finish, bottom_only)
 
 
 def level_errors(
@@ -115,14 +174,13 @@ def level_errors(
     bottom_only: bool = False,
 ) -> DataFrame:
     """Mean squared error of daily sums per level and series."""
-    daily = level_sums(
-        valid,
-        {"a": F.col(actual).cast("double"), "p": F.col(prediction).cast("double")},
-        [*by, "date"],
-        bottom_only,
-    )
     error = F.col("a") - F.col("p")
-    return daily.groupBy("level", "series_id", *by).agg(F.avg(error * error).alias("mse"))
+
+    def finish(daily: DataFrame, keys: list[str], every: Column) -> DataFrame:
+        return daily.groupBy(*keys).agg(F.avg(error * error).alias("mse"))
+
+    both = {"a": F.col(actual).cast("double"), "p": F.col(prediction).cast("double")}
+    return _per_series(valid, both, by, finish, bottom_only)
 
 
 def level_weights(

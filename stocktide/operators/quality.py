@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide.config import SERIES_KEYS
@@ -142,14 +141,41 @@ def launch_price_checks(panel: DataFrame) -> DataFrame:
 
 
 def panel_checks(panel: DataFrame, expected_rows: int | None = None) -> DataFrame:
-    """All checks of the long panel."""
-    parts = [
-        unique_grain(panel),
-        continuous_dates(panel),
-        value_checks(panel, expected_rows),
-        launch_price_checks(panel),
+    """All checks of the long panel, the row count among them where it is known, in one pass.
+
+    Rows are shuffled once, by series. A window finds the launch week, an aggregate by day the repeated keys, one by
+    series the gaps; all three share that partitioning, and only counts leave it.
+    """
+    price, unpriced = F.col("sell_price"), ~is_present("sell_price")
+    placed = panel.repartition(*SERIES_KEYS).withColumn(
+        "_launch", F.min(F.when(price.isNotNull(), F.col("wm_yr_wk"))).over(Window.partitionBy(*SERIES_KEYS))
+    )
+    counted = {
+        "negative": F.col("sales") < 0, "null_sales": F.col("sales").isNull(), "bad_price": is_present(price) & (price <= 0),
+        "before": unpriced & (F.col("wm_yr_wk") < F.col("_launch")), "after": unpriced & (F.col("wm_yr_wk") >= F.col("_launch")),
+    }
+    days = placed.groupBy(*SERIES_KEYS, "date").agg(F.count("*").alias("n"), *[F.count_if(c).alias(k) for k, c in counted.items()])
+    series = days.groupBy(*SERIES_KEYS).agg(
+        F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("repeated"),
+        (F.datediff(F.max("date"), F.min("date")) + 1).alias("span"), *[F.sum(k).alias(k) for k in counted],
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    one = series.agg(
+        total("n").alias("n"), total("repeated").alias("repeated"), F.count_if(F.col("n") != F.col("span")).alias("broken"),
+        *[total(k).alias(k) for k in counted],
+    )
+    rules = [
+        _result("unique_grain", "silver", F.col("repeated")),
+        _result("continuous_dates", "silver", F.col("broken")),
+        _result("sales_not_negative", "silver", F.col("negative")),
+        _result("sales_not_null", "silver", F.col("null_sales")),
+        _result("price_positive", "silver", F.col("bad_price")),
+        _result("null_price_before_launch", "silver", F.when(F.col("before") == 0, 1).otherwise(0)),
+        _result("no_null_price_after_launch", "silver", F.col("after")),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    if expected_rows is not None:
+        rules.append(_result("row_count", "silver", F.abs(F.col("n") - expected_rows)))
+    return _stack(one, rules)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stocktide.config import ID_COLUMNS, PANEL_COLUMNS, Settings
 from stocktide.functions import columns as C
 from stocktide.operators import quality
-from stocktide.operators.joins import require_unique
+from stocktide.operators.joins import one_row_per_key
 from stocktide.operators.reshape import columns_with_prefix, melt
 from stocktide.sources import bronze, tables
 
@@ -30,17 +30,18 @@ def build_panel(
 ) -> DataFrame:
     """Melt wide sales and attach calendar, benefit flag and weekly price.
 
-    The calendar holds one row per day and is broadcast. Prices hold one row per series and
-    week and are joined by shuffle on that key, which spreads any single store or item over
-    its weeks.
+    A checked calendar holds one row per day and is broadcast; an unchecked one is left to the planner. Prices
+    hold one row per series and week and are joined by shuffle on that key, which spreads any single
+    store or item over its weeks. The checks are part of the plan: a repeated key fails the action.
     """
+    price = bronze.clean_prices(prices)
     if check_keys:
-        require_unique(calendar, ["d"], "calendar")
-        require_unique(prices, ["store_id", "item_id", "wm_yr_wk"], "price")
+        calendar = F.broadcast(one_row_per_key(calendar, ["d"], "calendar"))
+        price = one_row_per_key(price, ["store_id", "item_id", "wm_yr_wk"], "price")
     snaps = {c[len("snap_") :]: c for c in columns_with_prefix(calendar, "snap_")}
     return (
         melt_sales(wide)
-        .join(F.broadcast(calendar), "d", "left")
+        .join(calendar, "d", "left")
         .withColumns(
             {
                 "snap": C.select_by_value("state_id", snaps).cast("int"),
@@ -51,7 +52,7 @@ def build_panel(
                 "sales": F.col("sales").cast("int"),
             }
         )
-        .join(bronze.clean_prices(prices), ["store_id", "item_id", "wm_yr_wk"], "left")
+        .join(price, ["store_id", "item_id", "wm_yr_wk"], "left")
         .select(*panel_columns)
     )
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import asdict, dataclass
 from datetime import date, timedelta
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,10 +65,38 @@ def split(df: DataFrame, fold: Fold) -> tuple[DataFrame, DataFrame]:
     return train_part(df, fold), valid_part(df, fold)
 
 
-def all_folds(df: DataFrame, folds: list[Fold], part) -> DataFrame:
-    """The train or valid rows of every fold in one frame, marked with the fold number."""
-    marked = [part(df, f).withColumn("fold", F.lit(f.folds)) for f in folds]
-    return reduce(DataFrame.unionByName, marked)
+def ends(folds: list[Fold]) -> dict[int, date]:
+    return {f.folds: f.train_end for f in folds}
+
+
+def windows(df: DataFrame, spans: Mapping[int, tuple[date, date]]) -> DataFrame:
+    """The rows of each fold's span of days, marked with the `fold`, from one read.
+
+    A row that several spans hold is copied, one that none holds is left out by the scan's filter.
+    """
+    if not spans:
+        return df.withColumn("fold", F.lit(None).cast("int")).where("false")
+    table = F.array(*[F.struct(F.lit(f).alias("fold"), F.lit(a).alias("a"), F.lit(b).alias("b")) for f, (a, b) in spans.items()])
+    first, last = min(a for a, _ in spans.values()), max(b for _, b in spans.values())
+    hits = F.filter(table, lambda s: F.col("date").between(s["a"], s["b"]))
+    inside = df.where(F.col("date").between(F.lit(first), F.lit(last)))
+    return inside.withColumn("fold", F.explode(F.transform(hits, lambda s: s["fold"])))
+
+
+def valid_windows(df: DataFrame, folds: list[Fold]) -> DataFrame:
+    """The validation rows of all folds."""
+    return windows(df, {f.folds: (f.valid_start, f.valid_end) for f in folds})
+
+
+def recent_windows(df: DataFrame, folds: list[Fold], days: int = HORIZON) -> DataFrame:
+    """The last training days of all folds, all that baselines and revenue weights look at."""
+    return windows(df, {f.folds: (f.train_end - timedelta(days=days - 1), f.train_end) for f in folds})
+
+
+def train_sizes(df: DataFrame, folds: list[Fold]) -> DataFrame:
+    """`fold` and `train_rows`, from one pass."""
+    counts = [F.struct(F.lit(f).alias("fold"), F.count_if(F.col("date") <= F.lit(e)).alias("train_rows")) for f, e in ends(folds).items()]
+    return df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
 
 
 def holdout(df: DataFrame, horizon: int = HORIZON) -> tuple[DataFrame, DataFrame]:

@@ -78,11 +78,28 @@ def test_join_checked_refuses_repeats_and_losses(spark):
     left = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
     twice = spark.createDataFrame([(1, 0), (1, 1)], "k int, w int")
     with pytest.raises(joins.CardinalityError):
-        joins.join_checked(left, twice, ["k"])
+        joins.require_unique(twice, ["k"], "right")
+    # The checks are part of the plan: no job before the action, and the action fails.
+    tracker, jobs = spark.sparkContext.statusTracker(), lambda: len(tracker.getJobIdsForGroup("checked"))
+    spark.sparkContext.setJobGroup("checked", "joins that check themselves")
+    repeated = joins.join_checked(left, twice, ["k"])
     once = spark.createDataFrame([(1, 0)], "k int, w int")
-    assert joins.join_checked(left, once, ["k"]).count() == 2
-    with pytest.raises(joins.CardinalityError):
-        joins.join_checked(left, once, ["k"], "inner", keep_rows=True)
+    kept = joins.join_checked(left, once, ["k"])
+    lost = joins.join_checked(left, once, ["k"], "inner", keep_rows=True)
+    both = joins.join_checked(left, left.withColumnRenamed("v", "u"), ["k"], "inner", "one_to_one", keep_rows=True)
+    assert jobs() == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(Exception, match="CardinalityError: right side repeats .*k.*1"):
+        repeated.collect()
+    assert sorted(map(tuple, kept.collect())) == [(1, "x", 0), (2, "y", None)]
+    with pytest.raises(Exception, match="CardinalityError: rows changed .*k.*2"):
+        lost.count()
+    assert both.columns == ["k", "v", "u"] and both.count() == 2
+    with pytest.raises(Exception, match="CardinalityError: left side repeats"):
+        joins.join_checked(twice, once.withColumnRenamed("w", "u"), ["k"], "left", "one_to_one").collect()
+    with pytest.raises(ValueError, match="several partners"):
+        joins.join_checked(left, twice, ["k"], "inner", "one_to_many", keep_rows=True)
+    assert joins.join_checked(left, twice, ["k"], "inner", "one_to_many").count() == 2
     assert joins.key_containment(left, once, ["k"]).first().asDict() == {
         "missing_keys": 1, "contained": False,
     }
