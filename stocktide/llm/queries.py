@@ -54,7 +54,7 @@ def _quality(spark, folder):
 def _token_files(spark, folder):
     manifest = token_files.write_dataset(
         table(spark, folder, "documents"), f"{shared_folder(spark).rstrip('/')}/token_files",
-        tokenizer(BYTE_JSON), pretoken_pattern(), END_ID,
+        tokenizer(BYTE_JSON), END_ID,
     )
     return token_files.read_dataset(manifest)
 

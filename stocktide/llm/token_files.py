@@ -12,11 +12,12 @@ only those that Spark commits to the manifest are read, so a lost executor costs
 Local and mounted folders are memory-mapped; other stores are read through pyarrow's file systems.
 
 Defined results: a null or empty text has only the end id; rows of equal `doc_id` stay, ordered by
-text; a null `doc_id` comes first; other columns are ignored; an empty table gives an empty manifest.
+a checksum of their ids and the ids' bytes; a null `doc_id` comes first; other columns are ignored; an empty table gives an empty manifest.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -25,43 +26,191 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.common import ship, text_or_empty
-from stocktide.llm.segments import SegmentEncoder
+from stocktide.llm.sketches import batches_of
+from stocktide.session import shuffle_width
 
 MANIFEST = "part int, name string, n_docs long, n_ids long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 CHUNK_ROWS = 2000
+#: Texts of about this many bytes are encoded together; cuts and ids remembered before the memory starts anew.
+BATCH_BYTES, CACHE_ENTRIES, CACHE_IDS = 4 << 20, 600_000, 4_000_000
+#: First bytes of non-ASCII white space: U+0085 and U+00A0, U+1680, U+2000 to U+205F, U+3000.
+SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 #: The tokenizers' own byte-level pre-token pattern; files of another pre-tokenizer are refused.
 BYTE_LEVEL = "ByteLevel"
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library, each distinct pre-token encoded once while it is remembered."""
+    """Many texts at once to ids, by the tokenizers library.
 
-    def __init__(self, tokenizer_json: str, pattern: str, end_id: int, wide: bool):
-        self.json, self.pattern, self.end_id, self.wide = tokenizer_json, pattern, end_id, wide
+    Texts are cut where no pre-token spans: before a space that a character follows, and around a line feed between
+    two characters. Arrow finds the distinct cuts of a batch; the library encodes those that aren't remembered, all
+    that start with a space in one call; NumPy gathers the ids of all cuts. The cut rule looks at bytes and leaves
+    out what might begin a non-ASCII space, so some cuts are longer than they need be. A text that
+    spells an added token goes to the library whole, which then does with it what it always does.
+    """
+
+    def __init__(self, tokenizer_json: str, end_id: int):
+        import json
+        import os
 
-    def __getstate__(self):
-        return {k: self.__dict__[k] for k in ("json", "pattern", "end_id", "wide")}
+        import numpy as np
 
-    def __getattr__(self, name: str):
-        if name not in ("tokenizer", "text", "dtype"):
-            raise AttributeError(name)
-        import regex
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.dtype = "<u4" if self.wide else "<u2"
-        self.tokenizer = Tokenizer.from_str(self.json)
-        self.tokenizer.encode_special_tokens = True
-        self.text = SegmentEncoder(regex.compile(self.pattern).findall, self._piece)
-        return self.__dict__[name]
+        said = json.loads(tokenizer_json)
+        self.tokenizer, self.end_id = Tokenizer.from_str(tokenizer_json), end_id
+        self.added = [t["content"].encode() for t in said["added_tokens"]]
+        vocabulary = said["model"]["vocab"]
+        #: A character of a byte-level token stands for a byte.
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, "i8")
+        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.follows = np.zeros(256, bool)
+        self.follows[0x21:] = True
+        self.follows[list(SPACE_LEADS)] = False
+        self._forget()
+
+    def _forget(self) -> None:
+        import numpy as np
+
+        self.known: dict[bytes, int] = {}
+        self.pool, self.start, self.size = np.zeros(1 << 16, "u4"), np.zeros(1 << 14, "i8"), np.zeros(1 << 14, "i8")
+        self.held = 0
+
+    def _remember(self, cuts: list[bytes], ids, sizes) -> None:
+        import numpy as np
+
+        first = len(self.known)
+        self.known.update(zip(cuts, range(first, first + len(cuts))))
+        while self.held + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+        while first + len(cuts) > len(self.start):
+            self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
+        here = slice(first, first + len(cuts))
+        self.pool[self.held : self.held + len(ids)] = ids
+        self.size[here] = sizes
+        self.start[here] = self.held + np.cumsum(sizes) - sizes
+        self.held += len(ids)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        # The fast form leaves out the places of tokens, which nobody reads here.
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, cuts: list[bytes]) -> None:
+        """Encode cuts: those that a space and a character open make up a text in which they are the cuts again."""
+        import numpy as np
+
+        opened = [c for c in cuts if len(c) > 1 and c[0] == 0x20 and self.follows[c[1]]]
+        if opened:
+            ids = np.array(self._whole([b"".join(opened).decode()])[0], "u4")
+            ends = np.cumsum(self.bytes_of[ids])
+            want = np.cumsum([len(c) for c in opened])
+            last = np.searchsorted(ends, want)
+            if not (ends[last] == want).all():
+                raise ValueError("a token spans two cuts")
+            self._remember(opened, ids, np.diff(last + 1, prepend=0))
+        others = [c for c in cuts if not (len(c) > 1 and c[0] == 0x20 and self.follows[c[1]])]
+        if others:
+            found = self._whole([c.decode() for c in others])
+            self._remember(others, np.concatenate([np.array(f, "u4") for f in found]), np.array([len(f) for f in found]))
+
+    def _cuts(self, data, starts):
+        """Where cuts begin in texts that lie one after another from `starts`."""
+        import numpy as np
+
+        begins = np.zeros(len(data) + 1, bool)
+        begins[starts] = True
+        if len(data) > 1:
+            next_ok = np.append(self.follows[data[1:]] & ~begins[1:-1], False)
+            begins[:-1] |= (data == 0x20) & next_ok
+            lines = np.flatnonzero((data[1:] == 0x0A) & (data[:-1] > 0x20) & (data[:-1] < 0x80) & next_ok[1:]) + 1
+            begins[lines] = True
+            begins[lines + 1] = True
+        return np.flatnonzero(begins[:-1])
+
+    def __call__(self, texts: list[bytes]):
+        """Ids of all texts one after another, each with the end id, and how many each text has."""
+        import numpy as np
+        import pyarrow as pa
+
+        if len(self.known) > CACHE_ENTRIES or self.held > CACHE_IDS:
+            self._forget()
+        odd = {i: t for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        plain = [b"" if i in odd else t for i, t in enumerate(texts)] if odd else texts
+        lengths = np.array([len(t) for t in plain], "i8")
+        joined = b"".join(plain)
+        data, starts = np.frombuffer(joined, "u1"), np.cumsum(lengths) - lengths
+        begins = self._cuts(data, starts)
+        offsets = np.append(begins, len(data)).astype("i4")
+        coded = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        missing = [c for c in distinct if c not in self.known]
+        if missing:
+            self._learn(missing)
+        index = np.fromiter(map(self.known.__getitem__, distinct), "i8", len(distinct))[coded.indices.to_numpy()]
+        sizes, first = self.size[index], self.start[index]
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        ids = self.pool[np.repeat(first - upto[:-1], sizes) + np.arange(upto[-1])]
+        at = upto[np.searchsorted(begins, np.append(starts, len(data)))]
+        counts = np.diff(at) + 1
+        ids = np.insert(ids, at[1:], self.end_id)
+        if odd:
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for i, found in zip(odd, self._whole([t.decode() for t in odd.values()])):
+                parts[i] = np.array([*found, self.end_id], "u4")
+            ids, counts = np.concatenate(parts), np.array([len(p) for p in parts])
+        return ids, counts
+
+
+def _ranges(documents: DataFrame, n: int):
+    """The largest id of each of `n` ranges of about as many rows, and how many of the ranges are for null ids.
+
+    The largest ids come from a sketch of the ids alone; an id of many rows fills several ranges.
+    """
+    doc = F.col("doc_id").cast("long")
+    shares = F.percentile_approx(doc, [i / n for i in range(1, n + 1)], 20 * n)
+    found = documents.agg(shares.alias("c"), F.max(doc).alias("m"), F.count_if(doc.isNull()).alias("nulls"), F.count("*").alias("n")).first()
+    nulls = math.ceil(n * found["nulls"] / found["n"]) if found["n"] else 0
+    return [*(found["c"] or [])[:-1], *([] if found["m"] is None else [found["m"]])], nulls
+
+
+def _encode(shared, width: int):
+    """`part`, `doc_id`, `tie` and `ids` of every document; parts hold ascending ranges of (`doc_id`, `tie`)."""
+
+    def parts_of(ids, ties, heads, nulls):
+        import numpy as np
+
+        known = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        share = ties / float(1 << 32)
+        first = np.searchsorted(heads, known, "left") if len(heads) else np.zeros(len(known), "i8")
+        last = np.maximum(first, np.searchsorted(heads, known, "right") - 1)
+        spread = nulls + first + (share * (last - first + 1)).astype("i8")
+        return np.where(ids.is_null().to_numpy(zero_copy_only=False), (share * nulls).astype("i8"), spread)
+
+    def run(batches: Iterator) -> Iterator:
+        import zlib
 
-    def _piece(self, piece: str) -> bytes:
         import numpy as np
+        import pyarrow as pa
 
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
+        given = shared.value  # plain values; the encoder stays beside them while the worker lives
+        if "encoder" not in given:
+            given["encoder"] = LibraryEncoder(given["json"], given["end_id"])
+        encode = given["encoder"]
+        for batch in batches:
+            for first, texts in batches_of(batch.column(1), BATCH_BYTES):
+                found, counts = encode(texts)
+                flat = found.astype(f"<u{width}").tobytes()
+                ends = np.concatenate(([0], np.cumsum(counts))) * width
+                rows = [flat[a:b] for a, b in zip(ends, ends[1:])]
+                ids, ties = batch.column(0).slice(first, len(texts)), np.array([zlib.crc32(r) for r in rows], "i8")
+                parts = parts_of(ids, ties, np.array(given["heads"], "i8"), given["nulls"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(parts, pa.int32()), ids, pa.array(ties), pa.array(rows, pa.binary())], names=["part", "doc_id", "tie", "ids"]
+                )
 
-    def __call__(self, text: str) -> bytes:
-        return self.text(text) + self.end_id.to_bytes(4 if self.wide else 2, "little")
+    return run
 
 
 def _store(folder: str):
@@ -75,16 +224,15 @@ def _store(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def _write_part(shared, folder: str):
+def _write_part(folder: str, width: int):
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         schema = pa.schema([("part", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
-        encoder, store, n_docs, n_ids, out = shared.value, None, 0, 0, []
+        store, n_docs, n_ids, out = None, 0, 0, []
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
-        width = 4 if encoder.wide else 2
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -96,11 +244,11 @@ def _write_part(shared, folder: str):
             docs["null"] = batch.column(0).is_null().to_numpy(zero_copy_only=False)
             docs["id"] = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             starts = []
-            for text in batch.column(1):
-                ids = encoder(text.as_py())
-                out[0].write(ids)
+            for ids in batch.column(1):
+                data = ids.as_buffer()
+                out[0].write(data)
                 starts.append(n_ids)
-                n_ids += len(ids) // width
+                n_ids += data.size // width
             out[1].write(np.array(starts, "<i8").tobytes())
             out[2].write(docs.tobytes())
             n_docs += batch.num_rows
@@ -113,12 +261,11 @@ def _write_part(shared, folder: str):
     return run
 
 
-def write_dataset(
-    documents: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id: int
-) -> DataFrame:
+def write_dataset(documents: DataFrame, folder: str, tokenizer_path: str, end_id: int) -> DataFrame:
     """Encode all documents into `folder` and return the manifest, ordered parts with their `base`.
 
-    The tokenizer file is read once on the driver and broadcast; its size doesn't depend on the data.
+    The tokenizer file is read once on the driver and broadcast as text; its size doesn't depend on the data.
+    Texts are encoded where they are read, and only their ids are shuffled, once, to ranges of `doc_id`.
     """
     import json
 
@@ -127,21 +274,24 @@ def write_dataset(
     said = json.loads(source)
     if said["pre_tokenizer"]["type"] != BYTE_LEVEL or said["pre_tokenizer"].get("add_prefix_space") or said.get("normalizer"):
         raise ValueError("only plain byte-level vocabularies can be encoded by the piece")
-    highest = max([end_id, *said["model"]["vocab"].values()])
+    highest = max([end_id, *said["model"]["vocab"].values(), *[t["id"] for t in said["added_tokens"]]])
+    width = 4 if highest > 0xFFFF else 2
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(LibraryEncoder(source, pattern, end_id, highest > 0xFFFF))
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    n = shuffle_width(spark)
+    heads, nulls = _ranges(texts, n)
+    shared = spark.sparkContext.broadcast({"json": source, "end_id": end_id, "heads": heads, "nulls": nulls})
     folder = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
-    texts = documents.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
-    # Equal ids may not be parted, so the text is no part of the range.
-    placed = texts.repartitionByRange(order[0]).sortWithinPartitions(*order)
-    placed.mapInArrow(_write_part(shared, f"{folder}/parts"), MANIFEST).write.parquet(f"{folder}/manifest")
+    encoded = texts.mapInArrow(_encode(shared, width), "part int, doc_id long, tie long, ids binary")
+    placed = encoded.repartitionById(n + nulls, "part").select("doc_id", "tie", "ids")
+    sorted_ = placed.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie", "ids").select("doc_id", "ids")
+    sorted_.mapInArrow(_write_part(f"{folder}/parts", width), MANIFEST).write.parquet(f"{folder}/manifest")
     # One row per part: as many as the shuffle has partitions, whatever the data's size.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select(
         "part", F.concat(F.lit(f"{folder}/parts/"), "name").alias("path"), "n_docs", "n_ids",
         F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long").alias("base"),
-        F.lit(4 if highest > 0xFFFF else 2).alias("width"),
+        F.lit(width).alias("width"),
     )
 
 
@@ -190,7 +340,8 @@ def _read_parts(batches: Iterator) -> Iterator:
 
 def read_dataset(manifest: DataFrame) -> DataFrame:
     """Per document its place in the whole dataset, its number of ids and their CRC-32, from the files."""
-    rows = manifest.repartition(F.col("part"))
+    # A number keeps adaptive execution from merging tasks by the size of the manifest's own rows.
+    rows = manifest.repartitionByRange(shuffle_width(manifest.sparkSession), "part")
     return rows.mapInArrow(_read_parts, READ)
 
 
