@@ -258,6 +258,18 @@ SELECT * FROM (
   SELECT 'row_count', 'silver', n = expected, abs(n - expected)
   FROM (SELECT count(*) AS n, count(DISTINCT (item_id, store_id)) * (date_diff('day', min(date), max(date)) + 1) AS expected
         FROM panel))"""),
+        "csv_round_trip": on_panel("""
+SELECT store_id, year, count(*) AS rows, CAST(sum(sales) AS BIGINT) AS units, count(sell_price) AS priced,
+  CAST(sum(snap) AS BIGINT) AS snap_days, count(*) FILTER (event_name_1 <> 'No Event') AS event_days
+FROM panel GROUP BY store_id, year"""),
+        "feature_round_trip": on_panel("""
+SELECT store_id, year, count(*) AS rows, CAST(sum(week(date)) AS BIGINT) AS weeks, CAST(sum(sales) AS BIGINT) AS units
+FROM panel, (SELECT max(year) AS last FROM panel)
+WHERE sell_price IS NOT NULL AND (year = last - 1 OR (year = last AND state_id = 'ASIA')) GROUP BY store_id, year"""),
+        "report_round_trip": on_panel("""
+SELECT state_id, cat_id, CAST(sum(sales) AS BIGINT) AS total_sales, avg(sales) AS avg_sales, count(*) AS observations,
+  CAST(row_number() OVER (ORDER BY state_id, cat_id) AS INTEGER) AS line
+FROM panel GROUP BY state_id, cat_id"""),
         "sample_strata": on_panel(f"""
 SELECT item_id, store_id, date, sales FROM panel
 WHERE {DRAW.format(key="'7|' || item_id || '|' || store_id")} < CASE cat_id WHEN 'CAT_A' THEN 0.02 WHEN 'CAT_B' THEN 0.05 ELSE 0.1 END"""),

@@ -20,6 +20,7 @@ LEVELS = {
 HISTORY = """history AS MATERIALIZED (
   SELECT * FROM panel WHERE sell_price IS NOT NULL AND year BETWEEN (SELECT max(year) - 1 FROM panel)
     AND (SELECT max(year) FROM panel))"""
+EARLY = "history AS MATERIALIZED (SELECT * FROM panel WHERE sell_price IS NOT NULL AND d <= 84)"
 BOUNDS = "bounds AS (SELECT min(date) AS first, max(date) AS last FROM history)"
 
 
@@ -180,6 +181,7 @@ def statements():
     err = [*seasonal, ERR]
     err5 = [*base(5), SEASONAL, ERR]
     score = [*base(), SEASONAL, *scoring("seasonal")]
+    early = [EARLY, *score[1:]]
     prof = with_profile()
     median6 = "round(median(rmsse), 6) AS median_rmsse"
 
@@ -274,6 +276,18 @@ SELECT level, series_id, scale, mse, round(dollar_sales, 2) AS dollar_sales,
   round(dollar_sales / total, 6) AS weight, dollar_sales / total > 0 AS causes_inf
 FROM (SELECT *, sum(dollar_sales) OVER (PARTITION BY level) AS total FROM metrics)
 WHERE scale IS NULL OR scale <= 0""", *score),
+        "zero_scale_audit_early": on_panel("""
+SELECT level, series_id, scale, mse, round(dollar_sales, 2) AS dollar_sales,
+  round(dollar_sales / total, 6) AS weight, dollar_sales / total > 0 AS causes_inf
+FROM (SELECT *, sum(dollar_sales) OVER (PARTITION BY level) AS total FROM metrics)
+WHERE scale IS NULL OR scale <= 0""", *early),
+        "zero_scale_counts_early": on_panel("""
+SELECT level, count(*) AS series, count(*) FILTER (dollar_sales > 0) AS series_with_weight
+FROM metrics WHERE scale IS NULL OR scale <= 0 GROUP BY level""", *early),
+        "wrmsse_keep_early": on_panel("""
+SELECT level, round(sum(CASE WHEN dollar_sales = 0 OR NOT mse > 0 THEN 0 WHEN scale = 0 THEN CAST('inf' AS DOUBLE)
+                             ELSE sqrt(mse / scale) END * dollar_sales) / sum(dollar_sales), 6) AS wrmsse_level
+FROM metrics GROUP BY level""", *early),
         "cv_report": on_panel("""
 SELECT s.model, round(f1, 6) AS fold_1, round(f2, 6) AS fold_2, round(f3, 6) AS fold_3,
   round((f1 + f2 + f3) / 3, 6) AS mean_wrmsse,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide.config import ENCODINGS, PANEL_COLUMNS
@@ -15,7 +15,7 @@ from stocktide.operators import joins, quality, sampling, series
 from stocktide.operators.narrowing import narrowest_types
 from stocktide.plans import eda, gold, ingestion
 from stocktide.session import shared_folder
-from stocktide.sources import bronze
+from stocktide.sources import bronze, tables
 from stocktide.sources import star_schema as star
 from stocktide.streaming import append
 
@@ -120,6 +120,60 @@ def _appended(spark, folder):
     return found[0].unionByName(found[1])
 
 
+def _raw_files(spark, folder):
+    """Calendar, prices and wide sales written as CSV files with headers, as they come from outside."""
+    base = f"{shared_folder(spark).rstrip('/')}/raw/{uuid.uuid4().hex}"
+    raw = {"calendar": star.calendar_raw(spark, folder), "prices": star.prices_raw(spark, folder), "sales": star.sales_wide(spark, folder)}
+    for name, frame in raw.items():
+        frame.write.option("header", True).csv(f"{base}/{name}")
+    return base
+
+
+def _csv_panel(spark, folder):
+    """The panel from CSV files, stored by year and read back; per store and year what it holds."""
+    base = _raw_files(spark, folder)
+    days = star.calendar_raw(spark, folder).columns
+    panel = ingestion.build_panel(
+        bronze.read_sales_wide(spark, f"{base}/sales"), bronze.read_calendar(spark, f"{base}/calendar", days),
+        bronze.read_prices(spark, f"{base}/prices"), panel_columns=PANEL_COLUMNS,
+    )
+    tables.write_panel(panel, f"{base}/silver")
+    stored = tables.read_panel(spark, f"{base}/silver")
+    return stored.groupBy("store_id", F.col("year").cast("int").alias("year")).agg(
+        F.count("*").alias("rows"), F.sum("sales").cast("long").alias("units"), F.count("sell_price").alias("priced"),
+        F.sum("snap").cast("long").alias("snap_days"), F.count_if(F.col("event_name_1") != "No Event").alias("event_days"),
+    )
+
+
+def _stored_features(spark, folder):
+    """Features stored by year, one year written anew with fewer stores, and two years' folders read in one scan.
+
+    Only the year that the second write holds is replaced.
+    """
+    first, last = training_years(spark, folder)
+    rows = f.calendar_features(f.priced_rows(star.sales_panel(spark, folder))).where(F.col("year").between(first, last))
+    path = f"{shared_folder(spark).rstrip('/')}/gold/{uuid.uuid4().hex}"
+    tables.write_features(rows, path)
+    tables.write_features(rows.where((F.col("year") == last) & (F.col("state_id") == STORED_STATE)), path)
+    both = tables.read_panel(spark, f"{path}/year={first}", f"{path}/year={last}")
+    return both.groupBy("store_id", F.year("date").alias("year")).agg(
+        F.count("*").alias("rows"), F.sum("week_of_year").cast("long").alias("weeks"), F.sum("sales").cast("long").alias("units")
+    )
+
+
+STORED_STATE = "ASIA"
+
+
+def _stored_report(spark, folder):
+    """A report written as CSV and read back with its types, ordered as it was written."""
+    path = f"{shared_folder(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
+    report = eda.totals(star.sales_panel(spark, folder), ["state_id", "cat_id"]).orderBy("state_id", "cat_id")
+    tables.write_report(report, path)
+    typed = spark.read.option("header", True).schema(report.schema).csv(path)
+    place = Window.orderBy(F.monotonically_increasing_id())  # one file of a small report
+    return typed.withColumn("line", F.row_number().over(place))
+
+
 def _narrow_types(spark, folder):
     chosen = narrowest_types(star.table(spark, folder, "lineitem"))
     return spark.createDataFrame(list(chosen.items()), "column_name string, storage_type string")
@@ -187,6 +241,9 @@ def queries():
         "sample_orders": _lines,
         "sample_series": _some_series,
         "append_conflicts": _appended,
+        "csv_round_trip": _csv_panel,
+        "feature_round_trip": _stored_features,
+        "report_round_trip": _stored_report,
         "dq_raw_tables": _raw_table_checks,
         "dq_broken_series": lambda s, p: quality.broken_series(star.daily_sales(s, p)),
         "dq_negative_balance": lambda s, p: star.table(s, p, "customer")

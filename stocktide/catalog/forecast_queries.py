@@ -25,6 +25,8 @@ from stocktide.sources import star_schema as star
 from stocktide.sources import tables
 
 BY_FOLD = ["fold"]
+# Eight weeks of training and four of validation.
+EARLY_DAYS = 84
 # Five folds reach back to July, so the windows hold an event day.
 EVENT_FOLDS = 5
 
@@ -72,6 +74,18 @@ def metrics(spark, folder, forecast=baselines.seasonal_forecast):
     return scoring.series_metrics(train, forecast(train, valid))
 
 
+def early_metrics(spark, folder):
+    """Metrics of the panel's first days, where some series have no scale yet."""
+    rows = features.priced_rows(star.sales_panel(spark, folder)).where(F.col("d") <= EARLY_DAYS)
+    train, valid = validation.holdout(cut_lineage(rows))
+    return scoring.series_metrics(train, baselines.seasonal_forecast(train, valid))
+
+
+def _early_audit(spark, folder):
+    audit = scoring.zero_scale_audit(early_metrics(spark, folder))
+    return rounded(rounded(audit, "dollar_sales", digits=2), "weight")
+
+
 def errors_of(spark, folder):
     return scoring.with_errors(seasonal(spark, folder))
 
@@ -251,6 +265,11 @@ def queries():
         "zero_scale_audit": lambda s, f: rounded(
             rounded(scoring.zero_scale_audit(metrics(s, f)), "dollar_sales", digits=2), "weight"
         ),
+        "zero_scale_audit_early": _early_audit,
+        "zero_scale_counts_early": lambda s, f: scoring.zero_scale_counts(scoring.zero_scale_audit(early_metrics(s, f))),
+        "wrmsse_keep_early": lambda s, f: rounded(
+            scoring.weighted_levels(early_metrics(s, f), "keep"), "wrmsse_level"
+        ),
         "cv_report": lambda s, f: rounded(
             reports.cv_report(both_scores(s, f), [1, 2, 3]),
             "fold_1", "fold_2", "fold_3", "mean_wrmsse", "mean_delta",
