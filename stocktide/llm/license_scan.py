@@ -5,9 +5,10 @@ templates: 2-grams with those of short phrases, 4-grams with those of license no
 p of a text and word t of a template votes for the diagonal p - t, where the template would start. The votes of a
 diagonal are summed before the shuffle. A phrase stands where its diagonal has the votes of all its 2-grams. Diagonals
 of a notice that are at most `DRIFT` words apart (words put in or left out shift them) are merged, and the span is
-verified: its votes must cover `LEAST_COVERED` of the notice's 4-grams within about its length.
+verified: its votes must cover `LEAST_COVERED` of the notice's 4-grams within about its length. Licenses of one
+family differ in few words, so of their notices that begin within `NEAR` words only the best covered one stands.
 
-The templates are the only table that is broadcast; its size is checked. A document whose text holds a notice
+The templates (`license_texts`) are the only table that is broadcast; its size is checked. A document whose text holds a notice
 thousands of times is as many diagonals, merged by a window over one document's diagonals of one template.
 
 Defined results: a null or empty text has no words and no labels, which is the empty string; equal rows give
@@ -16,7 +17,7 @@ equal rows; a null `doc_id` stays null; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from stocktide.llm.common import ship, text_or_empty
 from stocktide.llm.grams import NOT_ALNUM, Hasher, sequences, within
+from stocktide.llm.license_texts import NOTICES
 from stocktide.llm.sketches import batches_of
 
 # Phrases and their labels.
@@ -33,22 +35,9 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Opening words of public license notices and their labels.
-NOTICES = {
-    "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-    "associated documentation files (the \"Software\"), to deal in the Software without restriction",
-    "apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
-    "except in compliance with the License. You may obtain a copy of the License at",
-    "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
-    "gpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the "
-    "GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
-    "gpl-3.0-line": "licensed under the GNU General Public License, version 3.",
-    "bsd-text": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-    "provided that the following conditions are met",
-    "mit-line": "Released under the MIT License.",
-    "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
-}
-GRAM, DRIFT, LEAST_COVERED = 4, 3, 0.6
+GRAM, DRIFT, LEAST_COVERED, NEAR = 4, 3, 0.6, 40
+#: Licenses that share wording, by the first part of their labels.
+FAMILIES = {"gpl": "gnu", "lgpl": "gnu", "agpl": "gnu", "cc": "cc", "cc0": "cc"}
 #: More template places than this would not be broadcast but refused.
 MOST_PLACES = 200_000
 HASHED = "part int, row long, doc_id long, n_words long, pairs int, grams array<long>"
@@ -81,20 +70,21 @@ def _hash_batches(batches: Iterator) -> Iterator:
             row += len(texts)
 
 
-def template_places(spark, phrases: dict[str, str], notices: dict[str, str]) -> DataFrame:
+def template_places(spark, phrases: Mapping[str, str], notices: Mapping[str, Sequence[str]]) -> DataFrame:
     """Hash, template, label, place and number of k-grams of the template, for every k-gram of every template."""
     hasher, rows = Hasher(NOT_ALNUM), []
-    for k, texts in ((2, {p: label for p, label in phrases.items()}), (GRAM, {t: label for label, t in notices.items()})):
+    for k, texts in ((2, dict(phrases)), (GRAM, {t: label for label, passages in notices.items() for t in passages})):
         for text, label in texts.items():
             words, _ = hasher.words([text.encode()])
             hashes = sequences(words, k).view("i8").tolist()
-            rows += [(h, k, f"{k}:{text}", label, at, len(hashes)) for at, h in enumerate(hashes)]
+            family = FAMILIES.get(label.split("-")[0], label)
+            rows += [(h, k, f"{k}:{text}", label, family, at, len(hashes)) for at, h in enumerate(hashes)]
     if len(rows) > MOST_PLACES:
         raise ValueError(f"{len(rows)} template places are too many to broadcast")
-    return spark.createDataFrame(rows, "hash long, k int, template string, label string, at long, of long")
+    return spark.createDataFrame(rows, "hash long, k int, template string, label string, family string, at long, of long")
 
 
-def scan(documents: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES) -> DataFrame:
+def scan(documents: DataFrame, phrases: Mapping[str, str] = PHRASES, notices: Mapping[str, Sequence[str]] = NOTICES) -> DataFrame:
     """Per document its words, the places of phrases, labels and score.
 
     `score` is the largest share of a template that stands in one place; a whole phrase counts 1.
@@ -109,7 +99,7 @@ def scan(documents: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[
     rolling = rolling.select(*document, F.when(k == 2, F.col("no")).otherwise(F.col("no") - F.col("pairs")).alias("word"), k.alias("k_of"), "hash")
     hits = rolling.join(places, (rolling["hash"] == places["hash"]) & (F.col("k_of") == F.col("k")), "left")
     # Words without a hit come down to one row per document, so every document stays.
-    votes = hits.groupBy(*document, "k", "template", "label", "of", (F.col("word") - F.col("at")).alias("diagonal")).agg(
+    votes = hits.groupBy(*document, "k", "template", "label", "family", "of", (F.col("word") - F.col("at")).alias("diagonal")).agg(
         F.count("at").alias("votes"),
         F.min("word").alias("first"), F.max("word").alias("last"),
     )
@@ -118,12 +108,16 @@ def scan(documents: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[
     apart = F.coalesce((gap > F.when(F.col("k") == 2, 0).otherwise(DRIFT)).cast("int"), F.lit(1))
     merged = (
         votes.withColumn("span", F.sum(apart).over(by_place))
-        .groupBy(*document, "template", "k", "label", "of", "span")
+        .groupBy(*document, "template", "k", "label", "family", "of", "span")
         .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"), F.min("diagonal").alias("start"))
     )
     covered = F.least(F.lit(1.0), F.col("votes") / F.col("of"))
     phrase = (F.col("k") == 2) & (F.col("votes") == F.col("of"))
-    notice = (F.col("k") == GRAM) & (covered >= LEAST_COVERED) & (F.col("last") - F.col("first") < 1.5 * F.col("of") + DRIFT)
+    whole = (F.col("k") == GRAM) & (covered >= LEAST_COVERED) & (F.col("last") - F.col("first") < 1.5 * F.col("of") + DRIFT)
+    merged = merged.withColumn("stands", F.when(whole, covered))
+    around = Window.partitionBy(*document, "family").orderBy("first").rangeBetween(-NEAR, NEAR)
+    merged = merged.withColumn("best", F.max("stands").over(around))
+    notice = F.col("stands") >= F.col("best")
     listed = lambda which: F.array_join(F.array_sort(F.collect_set(F.when(which, F.col("label")))), ",")
     return merged.groupBy(*document).agg(
         F.count(F.when(phrase, 1)).alias("n_base"), F.min(F.when(phrase, F.col("start"))).alias("first_word"),

@@ -171,7 +171,7 @@ def test_license_scan(documents, rows, odd, nothing):
 
 
 def test_notice_with_words_put_in(spark):
-    words = license_scan.NOTICES["mit-text"].split()
+    words = license_scan.NOTICES["mit-text"][0].split()
     words[12:12] = ["certain"]
     text = "before it " * 50 + " ".join(words) + " after it" * 50
     found = license_scan.scan(spark.createDataFrame([(1, text), (2, "any person obtaining a copy of it")], "doc_id long, text string"))
@@ -179,6 +179,23 @@ def test_notice_with_words_put_in(spark):
     assert got[1].labels == "mit-text" and 0.6 <= got[1].score < 1 and got[2].labels == "" and got[2].score == 0
 
 
+def test_license_bodies_and_relatives(spark):
+    filler = "some words before it " * 30
+    texts, want = [], []
+    for label, passages in license_scan.NOTICES.items():
+        for passage in passages:
+            texts.append(f"{filler}{passage} {filler}")
+            want.append(label)
+    body = " ".join(license_scan.NOTICES["mit-text"][1:])  # without its opening words
+    texts += [body, " ".join(p for v in license_scan.NOTICES.values() for p in v), filler]
+    found = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.doc_id: set(r.labels.split(",")) - set(license_scan.PHRASES.values()) for r in found.collect()}
+    extra = {"apache-2.0-notice": {"apache-2.0-line"}}  # the notice opens with the line
+    for i, label in enumerate(want):
+        assert label in got[i] and got[i] <= {label, *extra.get(label, set())}, (label, got[i], texts[i][len(filler):][:80])
+    assert got[len(want)] == {"mit-text"} and set(license_scan.NOTICES) - got[len(want) + 1] == set() and got[len(want) + 2] == {""}
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(5, "u5", "<p>a</p>"), (2, "u\r\n2", "<p>a</p>"), (9, None, None), (1, "u1", ""), (4, "u4", "é"), (None, "n", "<p>a</p>"), (5, "u5", "<p>a</p>")]
     table = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, payload string")
