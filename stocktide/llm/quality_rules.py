@@ -7,6 +7,8 @@ Every line that holds a word is held against three rules.
 * Navigation: it is short and is cut by two or more menu separators, or starts like a menu.
 * Boilerplate: it is short and holds a stock phrase of web pages.
 
+Menu words and stock phrases are English, German, French and Spanish; other languages have the rules that go by signs.
+
 A document is rejected by two base rules on the whole text (too few words, or too many words in
 repeated five-word windows) or if its failing lines hold more than `MOST_LOST` per cent of its text.
 
@@ -35,17 +37,31 @@ GOOD_END = "[.!?:;。！？…\"'”’»)\\]][ \\t-\\r]*\\z"
 FEW_WORDS = r"\A[ \t-\r]*[^ \t-\r]++(?:[ \t-\r]++[^ \t-\r]++){0,2}[ \t-\r]*\z"
 SHORT = r"\A[ \t-\r]*[^ \t-\r]++(?:[ \t-\r]++[^ \t-\r]++){0,24}[ \t-\r]*\z"
 SHORT_CHARS = 240
-# Separators and first words of menus.
+# Words that open a menu line, in English, German, French and Spanish.
+MENU_WORDS = (
+    "home", "menu", "log ?in", "sign (?:in|up)", "search", "next", "previous", "back to top", "skip to",
+    "startseite", "anmelden", "registrieren", "suche", "weiter", "zurück", "nach oben", "zum inhalt",
+    "accueil", "connexion", "se connecter", "s'inscrire", "rechercher", "suivant", "précédent", "haut de page", "aller au contenu",
+    "inicio", "iniciar sesión", "registrarse", "buscar", "siguiente", "anterior", "volver arriba", "ir al contenido",
+)
+# Separators of menu entries.
 NAVIGATION = (
     r"(?:[|»›•→·][^|»›•→·]*){2,}"
-    r"|(?i)\A[ \t-\r]*(?:home|menu|log ?in|sign (?:in|up)|search|next|previous|back to top|skip to)\b[^.]*\z"
-)
-# Stock phrases of web pages.
-BOILERPLATE = (
-    r"(?i)all rights reserved|privacy policy|cookie policy|use of cookies|uses cookies|terms of (?:use|service)"
-    r"|terms and conditions|enable javascript|lorem ipsum|click here|read more|subscribe to our|sign up for"
-    r"|share (?:this|on)|follow us"
+    rf"|(?iu)\A[ \t-\r]*(?:{'|'.join(MENU_WORDS)})(?![\p{{L}}\p{{N}}])[^.]*\z"
 )
+# Stock phrases of web pages, in the same languages.
+STOCK_PHRASES = (
+    "all rights reserved", "privacy policy", "cookie policy", "use of cookies", "uses cookies", "terms of (?:use|service)",
+    "terms and conditions", "enable javascript", "lorem ipsum", "click here", "read more", "subscribe to our", "sign up for",
+    "share (?:this|on)", "follow us",
+    "alle rechte vorbehalten", "datenschutzerklärung", "cookie-richtlinie", "verwendet cookies", "nutzungsbedingungen",
+    "allgemeine geschäftsbedingungen", "javascript aktivieren", "hier klicken", "weiterlesen", "newsletter abonnieren", "folgen sie uns",
+    "tous droits réservés", "politique de confidentialité", "politique de cookies", "utilise des cookies", "conditions d'utilisation",
+    "conditions générales", "activer javascript", "cliquez ici", "lire la suite", "abonnez-vous", "suivez-nous",
+    "todos los derechos reservados", "política de privacidad", "política de cookies", "utiliza cookies", "condiciones de uso",
+    "términos y condiciones", "activar javascript", "haga clic aquí", "leer más", "suscríbete a", "síguenos",
+)
+BOILERPLATE = rf"(?iu){'|'.join(STOCK_PHRASES)}"
 
 
 def symbol_count(text: Column) -> Column:

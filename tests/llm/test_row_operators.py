@@ -111,6 +111,20 @@ def test_lines_fail_first_then_documents(spark):
     for i, (line, stays) in enumerate(cases.items()):
         assert (found[i].n_bad_lines == 0) == stays, line
         assert found[i].kept and (line in found[i].cleaned.split("\n")) == stays
+    menus = [
+        "Home", "Startseite", "Zum Inhalt springen", "Accueil et services", "Rechercher un article", "Inicio", "Iniciar sesión aquí mismo",
+        "Wir sagen es so: Alle Rechte vorbehalten von uns.", "Ce site utilise des cookies pour vous servir.",
+        "Este sitio utiliza cookies para servirle mejor.", "TOUS DROITS RÉSERVÉS à la maison.", "Ver la Política de privacidad de la casa.",
+    ]
+    prose_lines = [
+        "Die Suchenden kamen spät nach Hause und fanden die Tür offen.", "Iniciado el viaje, nadie quiso volver.",
+        "Les accueillir fut un plaisir pour nous tous.", "Homeward they went, all of them.", "Weiterhin gilt, was gestern galt.",
+    ]
+    body = "Some other words open this text before it.\nSo there is enough to keep of it all.\n"
+    given = spark.createDataFrame([(i, body + x) for i, x in enumerate(menus + prose_lines)], "doc_id long, text string")
+    bad = {r.doc_id: r.n_bad_lines for r in quality_rules.score(given).collect()}
+    for i, line in enumerate(menus + prose_lines):
+        assert bad[i] == (1 if i < len(menus) else 0), line
     mostly_menu = "\n".join(["Home | Shop | Login | Search | Help | Imprint"] * 4 + ["One line of prose with ten words that does stay here."])
     kept = quality_rules.score(spark.createDataFrame([(1, mostly_menu.replace("Help", "H"))], "doc_id long, text string")).first()
     assert not kept.kept
