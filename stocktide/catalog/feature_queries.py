@@ -65,10 +65,11 @@ def calendar(spark, folder):
 
 
 def _panel_from_raw_tables(spark, folder):
+    dense = star.dense_days(spark, folder)
     return ingestion.build_panel(
-        star.sales_wide(spark, folder),
+        star.sales_wide(spark, folder, dense),
         calendar(spark, folder),
-        star.prices_raw(spark, folder),
+        star.prices_raw(spark, folder, dense),
         panel_columns=PANEL_COLUMNS,
     )
 
@@ -123,7 +124,8 @@ def _appended(spark, folder):
 def _raw_files(spark, folder):
     """Calendar, prices and wide sales written as CSV files with headers, as they come from outside."""
     base = f"{shared_folder(spark).rstrip('/')}/raw/{uuid.uuid4().hex}"
-    raw = {"calendar": star.calendar_raw(spark, folder), "prices": star.prices_raw(spark, folder), "sales": star.sales_wide(spark, folder)}
+    dense = star.dense_days(spark, folder)
+    raw = {"calendar": star.calendar_raw(spark, folder), "prices": star.prices_raw(spark, folder, dense), "sales": star.sales_wide(spark, folder, dense)}
     for name, frame in raw.items():
         frame.write.option("header", True).csv(f"{base}/{name}")
     return base

@@ -369,37 +369,57 @@ def with_stop_rows(train: DataFrame, days: int = HORIZON, name: str = "stop_row"
     return train.withColumn(name, F.col("date") > F.date_sub(last, days))
 
 
-def early_stopped(
-    train: DataFrame,
-    valid: DataFrame,
-    names: Sequence[str],
-    params: Mapping[str, float],
-    max_trees: int,
-    seeds: Sequence[int] = (1, 2, 3),
-    patience: int = PATIENCE,
-    workers: int = WORKERS,
+@dataclass
+class StopRows:
+    """Assembled rows of an early-stopped fit: those it is fitted on, the training tail, and those it forecasts.
+
+    They are stored, as every seed and every trial reads them again.
+    """
+
+    train: DataFrame
+    fitted: DataFrame
+    tail: DataFrame
+    target: DataFrame
+    digest: str
+
+    @classmethod
+    def of(cls, train: DataFrame, valid: DataFrame, names: Sequence[str], bins: int = GLOBAL_TREES["max_bin"]) -> StopRows:
+        marked = with_stop_rows(train)
+        earlier, tail = marked.where("NOT stop_row"), marked.where("stop_row")
+        inputs = tree_inputs(earlier, names, bins)
+        digest = boosting.fingerprint(earlier, [*names, "sales"])
+        stored = [cut_lineage(inputs.vectors(rows, *keep)) for rows, keep in ((earlier, ()), (tail, ()), (valid, OUTPUT))]
+        return cls(train, *stored, digest)
+
+
+def stopped_fits(
+    rows: StopRows, params: Mapping[str, float], max_trees: int, seeds: Sequence[int], patience: int = PATIENCE, workers: int = WORKERS
 ) -> tuple[DataFrame, list[Boosted]]:
     """Forecasts per seed by the trees up to the best round on the training tail, and the fits.
 
     Boosting ends with the block in which `patience` rounds on the tail have gone by without a smaller error, so no more
     than a block and the patience beyond the best round are fitted. Seeds run side by side.
     """
-    marked = with_stop_rows(train)
-    earlier, tail = marked.where("NOT stop_row"), marked.where("stop_row")
-    inputs = tree_inputs(earlier, names, int(params["max_bin"]))
-    digest = boosting.fingerprint(earlier, [*names, "sales"])
-    vectors, held_out, target = inputs.vectors(earlier), inputs.vectors(tail), inputs.vectors(valid, *OUTPUT)
+    spark = rows.train.sparkSession
 
     def one(seed: int) -> Boosted:
         mine = {**params, "seed": seed}
-        folder = boosting.fit_folder(train.sparkSession, digest, mine, "stops")
-        return boosting.fit(vectors, mine, max_trees, stop_rows=held_out, patience=patience, folder=folder)
+        folder = boosting.fit_folder(spark, rows.digest, mine, "stops")
+        return boosting.fit(rows.fitted, mine, max_trees, stop_rows=rows.tail, patience=patience, folder=folder)
 
-    fits = side_by_side(train.sparkSession, [lambda s=s: one(s) for s in seeds], workers)
-    parts = [never_negative(f.forecast(target, "_trees"), "_trees").withColumn("seed", F.lit(s)) for s, f in zip(seeds, fits)]
+    fits = side_by_side(spark, [lambda s=s: one(s) for s in seeds], workers)
+    parts = [never_negative(f.forecast(rows.target, "_trees"), "_trees").withColumn("seed", F.lit(s)) for s, f in zip(seeds, fits)]
     return stack(parts), fits
 
 
+def early_stopped(
+    train: DataFrame, valid: DataFrame, names: Sequence[str], params: Mapping[str, float], max_trees: int,
+    seeds: Sequence[int] = (1, 2, 3), patience: int = PATIENCE, workers: int = WORKERS,
+) -> tuple[DataFrame, list[Boosted]]:
+    """`stopped_fits` of one training window and the rows after it."""
+    return stopped_fits(StopRows.of(train, valid, names, int(params["max_bin"])), params, max_trees, seeds, patience, workers)
+
+
 def seed_mean(train: DataFrame, per_seed: DataFrame, counts: Sequence[int]) -> dict[str, float]:
     """Mean score and mean tree count over seeds."""
     scores = [r["wrmsse"] for r in score_variants(train, per_seed, "seed").collect()]
@@ -419,16 +439,34 @@ def draw(space: Mapping[str, tuple], generator: random.Random) -> dict[str, floa
     return setting
 
 
-def _tree_trial(train, valid, names, setting, start, max_trees, seeds) -> tuple[float, int]:
-    per_seed, fits = early_stopped(train, valid, names, {**start, **setting}, max_trees, seeds)
-    result = seed_mean(train, per_seed, [f.used for f in fits])
-    return result["wrmsse"], result["trees"]
+class _TreeTrials:
+    """Early-stopped trees of a fold; the fold's vectors are assembled once for all trials."""
+
+    def __init__(self, train, valid, names, start, max_trees, seeds):
+        self.rows, self.start, self.max_trees, self.seeds = StopRows.of(train, valid, names, int(start["max_bin"])), start, max_trees, seeds
+
+    def score(self, setting: Mapping[str, float]) -> tuple[float, int]:
+        per_seed, fits = stopped_fits(self.rows, {**self.start, **setting}, self.max_trees, self.seeds)
+        result = seed_mean(self.rows.train, per_seed, [f.used for f in fits])
+        return result["wrmsse"], result["trees"]
 
 
-def _glm_trial(train, valid, names, setting) -> tuple[float, None]:
-    learner = glm(setting["tweedie_variance_power"], setting["lambda_l2"])
-    found = fit_predict(train, valid, names, learner)[1].withColumn("model", F.lit("glm"))
-    return score_variants(train, found, "model").first()["wrmsse"], None
+class _GlmTrials:
+    """Linear models of a fold, on vectors assembled once."""
+
+    def __init__(self, train, valid, names, *_):
+        inputs = glm_inputs(train, names)
+        self.train = train
+        self.fitted, self.target = (cut_lineage(inputs.vectors(rows, *keep)) for rows, keep in ((train, ()), (valid, OUTPUT)))
+
+    def score(self, setting: Mapping[str, float]) -> tuple[float, None]:
+        vectors = boosting.in_tasks(self.fitted).persist()
+        try:
+            model = glm(setting["tweedie_variance_power"], setting["lambda_l2"]).fit(vectors)
+        finally:
+            vectors.unpersist()
+        found = never_negative(model.transform(self.target), "_glm").withColumn("model", F.lit("glm"))
+        return score_variants(self.train, found, "model").first()["wrmsse"], None
 
 
 def random_search(
@@ -450,11 +488,12 @@ def random_search(
     above the median of the earlier trials at the same fold is stopped. Settings that a learner doesn't read are NULL
     on its rows.
     """
-    spaces = {"trees": TREE_SPACE, "glm": GLM_SPACE}
+    kinds = {"trees": (TREE_SPACE, _TreeTrials), "glm": (GLM_SPACE, _GlmTrials)}
     columns = [*TREE_SPACE, *GLM_SPACE]
     table = []
     for kind in learners:
-        generator, history, space = random.Random(seed), [], spaces[kind]
+        space, trials = kinds[kind]
+        generator, history, prepared = random.Random(seed), [], {}
         for number in range(n_trials):
             current = {k: start.get(k, low) for k, (low, _, _) in space.items()}
             setting = current if number == 0 else draw(space, generator)
@@ -462,11 +501,9 @@ def random_search(
             trees: list[int | None] = []
             state = "complete"
             for fold in folds:
-                train, valid = split(rows, fold)
-                if kind == "trees":
-                    score, used = _tree_trial(train, valid, names, setting, start, max_trees, seeds)
-                else:
-                    score, used = _glm_trial(train, valid, names, setting)
+                if fold.folds not in prepared:
+                    prepared[fold.folds] = trials(*split(rows, fold), names, start, max_trees, seeds)
+                score, used = prepared[fold.folds].score(setting)
                 trees.append(used)
                 running.append((sum(running[-1:]) * len(running) + score) / (len(running) + 1))
                 step = len(running) - 1

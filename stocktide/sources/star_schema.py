@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stocktide.config import NO_EVENT, PANEL_COLUMNS
 from stocktide.functions.columns import day_name
-from stocktide.session import shuffle_width
+from stocktide.session import cut_lineage, shuffle_width
 
 FIRST_WEEK = 11101
 DAYS_PER_WEEK = 7
@@ -227,10 +227,15 @@ def calendar_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def prices_raw(spark: SparkSession, folder: str) -> DataFrame:
+def dense_days(spark: SparkSession, folder: str) -> DataFrame:
+    """What wide sales and weekly prices are made of, stored where both are."""
+    return cut_lineage(_dense_days(spark, folder))
+
+
+def prices_raw(spark: SparkSession, folder: str, dense: DataFrame | None = None) -> DataFrame:
     """Raw weekly prices: one row per store, item and week from launch on."""
     return (
-        _dense_days(spark, folder)
+        (_dense_days(spark, folder) if dense is None else dense)
         .where(F.col("sell_price").isNotNull())
         .withColumn("wm_yr_wk", week_number(F.col("d")))
         .groupBy("store_id", "item_id", "wm_yr_wk")
@@ -238,13 +243,13 @@ def prices_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sales_wide(spark: SparkSession, folder: str) -> DataFrame:
+def sales_wide(spark: SparkSession, folder: str, dense: DataFrame | None = None) -> DataFrame:
     """Raw wide sales: one row per series with its ids and one column per day."""
     span = date_span(spark, folder)
     n_days = span.select(F.datediff("last_date", "first_date") + 1).first()[0]
     dept = _department(F.col("item_id"))
     units = (
-        _dense_days(spark, folder)
+        (_dense_days(spark, folder) if dense is None else dense)
         .groupBy("item_id", "store_id", "state_id")
         .agg(F.array_sort(F.collect_list(F.struct("d", "sales"))).alias("days"))
         .withColumn("units", F.col("days.sales"))
