@@ -75,9 +75,9 @@ def _sets(width: int):
                 ends = np.concatenate(([0], np.cumsum(counts))).astype("i4")
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view("i8")))
                 # Every text here has words, so no set is empty.
-                a, b = set_hashes(hashes, ends[:-1])
+                a, b = (pa.array(h.view("i8")) for h in set_hashes(hashes, ends[:-1]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(a.view("i8")), pa.array(b.view("i8")), pa.array(counts, pa.int64()), lists],
+                    [batch.column(0).slice(first, len(texts)), a, b, pa.array(counts, pa.int64()), lists],
                     names=["doc_id", "set_a", "set_b", "n_shingles", "set"],
                 )
 
@@ -85,7 +85,28 @@ def _sets(width: int):
 
 
 def _compare(per_cent: int):
-    """Links between two blocks of sets: overlaps of all pairs from incidence matrices."""
+    """Links between two blocks of sets: overlaps of all pairs from incidence matrices.
+
+    Of the links of two blocks only as many are sent on as join the components that they join.
+    """
+
+    def spanning(a, b, i, j):
+        import numpy as np
+
+        pairs, first = np.unique(np.stack((a[1][i], b[1][j])), axis=1, return_index=True)
+        root: dict[int, int] = {}
+
+        def of(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        kept = []
+        for u, v, at in zip(*pairs.tolist(), first.tolist()):
+            if of(u) != of(v):
+                root[of(u)] = of(v)
+                kept.append((int(a[0][i[at]]), int(b[0][j[at]])))
+        return kept
 
     def incidence(which, owner, rows, low):
         import numpy as np
@@ -118,7 +139,7 @@ def _compare(per_cent: int):
                     common += incidence(col_a, a[4][in_a], len(a[0]), low) @ incidence(col_b, b[4][in_b], len(b[0]), low).T
                 union = a[2][:, None] + b[2][None, :] - common
                 links = (common * 100 >= union * per_cent) & (a[1][:, None] != b[1][None, :])
-                found += [(int(a[0][i]), int(b[0][j])) for i, j in zip(*np.nonzero(links))]
+                found += spanning(a, b, *np.nonzero(links))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
     return run
@@ -187,6 +208,26 @@ def _rest(shared: DataFrame, sets: DataFrame, comps: DataFrame, per_cent: int) -
     return pairs.mapInArrow(_compare(per_cent), "u long, v long")
 
 
+def _number(rep: Column, seed: int) -> Column:
+    """A class's number, from its smallest id and its set.
+
+    Numbers of ids from 0 below 2^40 ascend with them, as what came first is the likeliest centre of what is like it.
+    """
+    code = F.xxhash64(F.lit(seed), "set_a", "set_b", "n_shingles")
+    in_order = F.shiftleft(rep, 23).bitwiseOR(code.bitwiseAND(F.lit((1 << 23) - 1)))
+    return F.when((rep >= 0) & (rep < 1 << 40), in_order).otherwise(F.xxhash64(rep, code))
+
+
+def _numbered(of_set: DataFrame) -> tuple[DataFrame, int]:
+    """Classes with their numbers, and the first seed that gives no two of them the same one."""
+    held, seed = cut_lineage(of_set, keep=True), 0
+    while True:
+        numbered = held.withColumn("id", _number(F.col("rep"), seed))
+        if numbered.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+            return numbered, seed
+        seed += 1
+
+
 def classify(documents: DataFrame, width: int = WIDTH, per_cent: int = PER_CENT) -> DataFrame:
     """Per row of `documents` its `doc_id`, `n_shingles` and `component_id`."""
     with released_tables(documents.sparkSession):
@@ -199,16 +240,17 @@ def _classified(documents: DataFrame, width: int, per_cent: int) -> DataFrame:
     real = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["set_a", "set_b", "n_shingles"]
     of_set = real.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
-    classes = cut_lineage(of_set.withColumn("id", F.monotonically_increasing_id()), keep=True)
+    classes, seed = _numbered(of_set)
 
     keyed = classes.select("id", F.explode(_keys(F.col("signature"))).alias("key"))
     several = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     shared = cut_lineage(keyed.join(several, "key").select("key", "id"))
-    candidates = cut_lineage(classes.join(shared.select("id").distinct(), "id").select("id", "rep", *same))
-    wanted = candidates.select(F.col("rep").alias("_rep")).distinct()
-    chosen = texts.join(wanted, texts["doc_id"] == wanted["_rep"], "left_semi").where(F.col("text").rlike(r"[^ \t-\r]"))
+    candidates = cut_lineage(shared.select("id").distinct())
+    wanted = cut_lineage(classes.join(candidates, "id", "left_semi").select("rep").distinct())
+    chosen = texts.where(F.col("text").rlike(r"[^ \t-\r]")).join(wanted, texts["doc_id"] == wanted["rep"], "left_semi")
     found = chosen.mapInArrow(_sets(width), "doc_id long, set_a long, set_b long, n_shingles long, set array<long>")
-    of_class = found.join(candidates.withColumnRenamed("rep", "doc_id"), ["doc_id", *same])
+    # A wanted id may stand on other texts as well, whose numbers are no candidate's.
+    of_class = found.withColumn("id", _number(F.col("doc_id"), seed)).join(candidates, "id", "left_semi")
     sets = cut_lineage(of_class.select("id", F.col("n_shingles").alias("n"), "set").dropDuplicates(["id"]))
     for _ in range(2):
         sets = _prune(sets, per_cent)
