@@ -101,7 +101,7 @@ def line_fails(line: Column) -> Column:
     symbols = symbol_count(line) * 10 > F.length(line)
     punctuation = ~line.rlike(HAS_LETTER) | symbols | line.rlike(BAD_END) | (line.rlike(FEW_WORDS) & ~line.rlike(GOOD_END))
     short = (F.length(line) <= SHORT_CHARS) & line.rlike(SHORT)
-    return punctuation | ((line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)) & short)
+    return punctuation | (short & (line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)))
 
 
 def assess(text: Column) -> Column:
