@@ -15,7 +15,7 @@ from stocktide.llm.common import ship
 
 SAFE_CUT = re.compile(r"(?= \S)")
 #: Pieces each cache holds before it starts anew, and the longest piece that is kept.
-CACHE_ENTRIES, CACHE_CHARS = 1_000_000, 40
+CACHE_ENTRIES, CACHE_CHARS = 400_000, 40
 MARKS = frozenset(".,;:!?")
 
 
