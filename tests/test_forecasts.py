@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -217,6 +218,25 @@ def test_a_stored_fit_is_taken_up(spark, model_rows, small_blocks, tmp_path):
     assert len(names) == 4
 
 
+def test_plans_of_kept_rows_do_not_double_with_blocks(model_rows):
+    inputs = models.tree_inputs(model_rows[0], NAMES)
+    kept = boosting._Margins(boosting.in_tasks(inputs.vectors(model_rows[0])), [])
+    block = boosting.learner(SMALL, 1).fit(kept.left())
+    first, sizes = kept.left().orderBy("left").first()["left"], []
+    layout = [r.n for r in kept.rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()]
+    for _ in range(11):
+        kept.move(block)
+        sizes.append(len(kept.rows._jdf.queryExecution().toString()))
+    assert max(sizes[4:]) <= 2 * max(sizes[:4])
+    step = block.transform(kept.rows).agg(F.max(F.abs(F.col("margin") - 11 * F.col("step")))).first()[0]
+    assert step < 1e-9 and first == min(r.label for r in kept.rows.collect())
+    assert layout == [r.n for r in kept.rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()]
+    folder = Path(kept.folder.removeprefix("file:"))
+    assert folder.is_dir()
+    kept.release()
+    assert not folder.exists()
+
+
 def test_boosting_stops_when_the_tail_gets_no_better(model_rows, small_blocks):
     errors = [5.0, 4.0, 4.5, 4.2, 3.0, *[3.1] * 50, 2.0]
     assert boosting.best_round(errors) == 5 and boosting.best_round(errors, 1) == 2 and boosting.best_round([2.0]) == 1
