@@ -5,7 +5,9 @@ Trees, grids, folds, seeds and search take the settings of `config`, as the libr
 
 from __future__ import annotations
 
+import contextvars
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -81,8 +83,13 @@ def _group_drop(spark, folder):
 
 
 def _combined(train, test):
-    wide = models.tree_forecast(train, test, models.default_features())
-    return cut_lineage(models.ensemble(wide, _stores(train, test)))
+    """The mean of both forecasts, fitted at the same time: neither fit keeps all cores busy."""
+    names = models.default_features()
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        # The thread sees the caller's context, so tables that it stores are released with the caller's.
+        wide = pool.submit(contextvars.copy_context().run, models.tree_forecast, train, test, names)
+        stores = _stores(train, test)
+        return cut_lineage(models.ensemble(wide.result(), stores))
 
 
 def _ensemble(spark, folder):

@@ -325,6 +325,19 @@ def test_search_reports_what_learners_read(model_rows, small_blocks):
     assert rows["glm", 0].tweedie_variance_power == 1.1 and rows["glm", 1].num_leaves is None and rows["glm", 1].trees is None
 
 
+def test_forecasts_of_an_ensemble_are_fitted_at_the_same_time(monkeypatch):
+    from threading import Barrier
+
+    from stocktide.catalog import model_queries as q
+
+    both = Barrier(2)
+    for name in ("tree_forecast", "store_forecasts"):  # each waits until the other has begun
+        monkeypatch.setattr(models, name, lambda *a, name=name, **k: both.wait(20) is not None and name)
+    monkeypatch.setattr(models, "ensemble", lambda *a: a)
+    monkeypatch.setattr(q, "cut_lineage", lambda df: df)
+    assert q._combined("train", "test") == ("tree_forecast", "store_forecasts")
+
+
 def test_model_queries_take_the_settings(monkeypatch):
     from datetime import date
 
