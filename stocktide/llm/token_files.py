@@ -32,8 +32,8 @@ from stocktide.session import shuffle_width
 MANIFEST = "part int, name string, n_docs long, n_ids long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 CHUNK_ROWS = 2000
-#: Texts of about this many bytes are encoded together; cuts and ids remembered before the memory starts anew.
-BATCH_BYTES, CACHE_ENTRIES, CACHE_IDS = 4 << 20, 600_000, 4_000_000
+#: Texts of about this many bytes are encoded together; cuts, and bytes of cuts and ids, that a generation remembers.
+BATCH_BYTES, CACHE_ENTRIES, CACHE_BYTES = 8 << 20, 500_000, 24 << 20
 #: First bytes of non-ASCII white space: U+0085 and U+00A0, U+1680, U+2000 to U+205F, U+3000.
 SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 #: The tokenizers' own byte-level pre-token pattern; files of another pre-tokenizer are refused.
@@ -43,14 +43,16 @@ BYTE_LEVEL = "ByteLevel"
 class LibraryEncoder:
     """Many texts at once to ids, by the tokenizers library.
 
-    Texts are cut where no pre-token spans: before a space that a character follows, and around a line feed between
-    two characters. Arrow finds the distinct cuts of a batch; the library encodes those that aren't remembered, all
-    that start with a space in one call; NumPy gathers the ids of all cuts. The cut rule looks at bytes and leaves
+    Texts are cut where no pre-token spans: before a space that a character follows, around a line feed between
+    two characters, and before a mark that ends a word, so that a word is the same cut whatever mark follows it. Arrow
+    finds the distinct cuts of a batch; the library encodes those that aren't remembered, all that start with a
+    space in one call; Arrow puts the ids of all cuts one after another. What is remembered ages by generations: a full one
+    becomes the older one, and of that only what is met again stays. The cut rule looks at bytes and leaves
     out what might begin a non-ASCII space, so some cuts are longer than they need be. A text that
     spells an added token goes to the library whole, which then does with it what it always does.
     """
 
-    def __init__(self, tokenizer_json: str, end_id: int):
+    def __init__(self, tokenizer_json: str, end_id: int, width: int = 4):
         import json
         import os
 
@@ -69,29 +71,35 @@ class LibraryEncoder:
         self.follows = np.zeros(256, bool)
         self.follows[0x21:] = True
         self.follows[list(SPACE_LEADS)] = False
-        self._forget()
-
-    def _forget(self) -> None:
+        #: ASCII letters and digits; ASCII marks but the apostrophe, which opens a pre-token with letters.
+        self.word = np.array([chr(b).isalnum() and b < 0x80 for b in range(256)])
+        self.mark = np.array([0x21 <= b < 0x7F and chr(b) != "'" for b in range(256)]) & ~self.word
+        self.ids_type = np.dtype(f"<u{width}")
+        self.end = np.array([end_id], self.ids_type).tobytes()
+        self.known, self.older, self.held = {}, {}, 0
+
+    def _remember(self, cuts: list[bytes], flat: bytes, sizes) -> None:
+        """Keep the ids of cuts; `flat` has them one after another."""
         import numpy as np
 
-        self.known: dict[bytes, int] = {}
-        self.pool, self.start, self.size = np.zeros(1 << 16, "u4"), np.zeros(1 << 14, "i8"), np.zeros(1 << 14, "i8")
-        self.held = 0
-
-    def _remember(self, cuts: list[bytes], ids, sizes) -> None:
-        import numpy as np
+        ends = (np.cumsum(sizes) * self.ids_type.itemsize).tolist()
+        self.known.update(zip(cuts, [flat[a:b] for a, b in zip([0, *ends], ends)]))
+        self.held += sum(map(len, cuts)) + len(flat)
 
-        first = len(self.known)
-        self.known.update(zip(cuts, range(first, first + len(cuts))))
-        while self.held + len(ids) > len(self.pool):
-            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
-        while first + len(cuts) > len(self.start):
-            self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
-        here = slice(first, first + len(cuts))
-        self.pool[self.held : self.held + len(ids)] = ids
-        self.size[here] = sizes
-        self.start[here] = self.held + np.cumsum(sizes) - sizes
-        self.held += len(ids)
+    def _ids_of(self, cuts: list[bytes]) -> list[bytes]:
+        """Ids of distinct cuts, from memory or from the library."""
+        if len(self.known) > CACHE_ENTRIES or self.held > CACHE_BYTES:
+            self.known, self.older, self.held = {}, self.known, 0
+        missing = [c for c in cuts if c not in self.known]
+        if missing:
+            again = [c for c in missing if c in self.older]
+            if again:
+                flat = [self.older[c] for c in again]
+                self.known.update(zip(again, flat))
+                self.held += sum(map(len, again)) + sum(map(len, flat))
+                missing = [c for c in missing if c not in self.older]
+            self._learn(missing)
+        return list(map(self.known.__getitem__, cuts))
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         # The fast form leaves out the places of tokens, which nobody reads here.
@@ -109,11 +117,21 @@ class LibraryEncoder:
             last = np.searchsorted(ends, want)
             if not (ends[last] == want).all():
                 raise ValueError("a token spans two cuts")
-            self._remember(opened, ids, np.diff(last + 1, prepend=0))
+            self._remember(opened, ids.astype(self.ids_type).tobytes(), np.diff(last + 1, prepend=0))
         others = [c for c in cuts if not (len(c) > 1 and c[0] == 0x20 and self.follows[c[1]])]
         if others:
             found = self._whole([c.decode() for c in others])
-            self._remember(others, np.concatenate([np.array(f, "u4") for f in found]), np.array([len(f) for f in found]))
+            self._remember(others, np.array([i for f in found for i in f], self.ids_type).tobytes(), [len(f) for f in found])
+
+    def _ends_word(self, data):
+        """Which bytes end a letter or digit of ASCII, or a letter from U+00C0 to U+017F."""
+        import numpy as np
+
+        ends = self.word[data]
+        wide = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5)) + 1
+        lead, trail = data[wide - 1], data[wide]
+        ends[wide[(lead != 0xC3) | ((trail != 0x97) & (trail != 0xB7))]] = True  # but the times and division signs
+        return ends
 
     def _cuts(self, data, starts):
         """Where cuts begin in texts that lie one after another from `starts`."""
@@ -127,6 +145,10 @@ class LibraryEncoder:
             lines = np.flatnonzero((data[1:] == 0x0A) & (data[:-1] > 0x20) & (data[:-1] < 0x80) & next_ok[1:]) + 1
             begins[lines] = True
             begins[lines + 1] = True
+            # Marks inside of words, as in file names, part no cuts: those would hardly repeat.
+            inside = self.word[data[1:]] | (data[1:] >= 0x80)
+            marks = np.flatnonzero(self.mark[data[1:]] & self._ends_word(data)[:-1] & ~np.append(inside[1:], False)) + 1
+            begins[marks] = True
         return np.flatnonzero(begins[:-1])
 
     def __call__(self, texts: list[bytes]):
@@ -134,8 +156,6 @@ class LibraryEncoder:
         import numpy as np
         import pyarrow as pa
 
-        if len(self.known) > CACHE_ENTRIES or self.held > CACHE_IDS:
-            self._forget()
         odd = {i: t for i, t in enumerate(texts) if any(a in t for a in self.added)}
         plain = [b"" if i in odd else t for i, t in enumerate(texts)] if odd else texts
         lengths = np.array([len(t) for t in plain], "i8")
@@ -144,25 +164,33 @@ class LibraryEncoder:
         begins = self._cuts(data, starts)
         offsets = np.append(begins, len(data)).astype("i4")
         coded = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        missing = [c for c in distinct if c not in self.known]
-        if missing:
-            self._learn(missing)
-        index = np.fromiter(map(self.known.__getitem__, distinct), "i8", len(distinct))[coded.indices.to_numpy()]
-        sizes, first = self.size[index], self.start[index]
-        upto = np.concatenate(([0], np.cumsum(sizes)))
-        ids = self.pool[np.repeat(first - upto[:-1], sizes) + np.arange(upto[-1])]
-        at = upto[np.searchsorted(begins, np.append(starts, len(data)))]
-        counts = np.diff(at) + 1
-        ids = np.insert(ids, at[1:], self.end_id)
+        known = self._ids_of(_slices(coded.dictionary))
+        # The end id is one more entry, put behind the last cut of each text.
+        upto = np.searchsorted(begins, starts + lengths)
+        index = np.insert(coded.indices.to_numpy(), upto, len(known))
+        made = pa.array([*known, self.end], pa.binary()).take(pa.array(index))
+        _, ends, flat = made.buffers()
+        ends = np.frombuffer(ends, "i4")[upto + np.arange(len(texts)) + 1].astype("i8") // self.ids_type.itemsize
+        ids, counts = np.frombuffer(flat, self.ids_type)[: ends[-1] if len(ends) else 0], np.diff(ends, prepend=0)
         if odd:
             parts = np.split(ids, np.cumsum(counts)[:-1])
             for i, found in zip(odd, self._whole([t.decode() for t in odd.values()])):
-                parts[i] = np.array([*found, self.end_id], "u4")
+                parts[i] = np.array([*found, self.end_id], self.ids_type)
             ids, counts = np.concatenate(parts), np.array([len(p) for p in parts])
         return ids, counts
 
 
+def _slices(values) -> list[bytes]:
+    """The values of an Arrow binary array."""
+    import numpy as np
+
+    _, ends, data = values.buffers()
+    if not len(values) or data is None:
+        return [b""] * len(values)
+    whole, ends = data.to_pybytes(), np.frombuffer(ends, "i4")[values.offset : values.offset + len(values) + 1].tolist()
+    return [whole[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def _ranges(documents: DataFrame, n: int):
     """The largest id of each of `n` ranges of about as many rows, and how many of the ranges are for null ids.
 
@@ -196,12 +224,12 @@ def _encode(shared, width: int):
 
         given = shared.value  # plain values; the encoder stays beside them while the worker lives
         if "encoder" not in given:
-            given["encoder"] = LibraryEncoder(given["json"], given["end_id"])
+            given["encoder"] = LibraryEncoder(given["json"], given["end_id"], width)
         encode = given["encoder"]
         for batch in batches:
             for first, texts in batches_of(batch.column(1), BATCH_BYTES):
                 found, counts = encode(texts)
-                flat = found.astype(f"<u{width}").tobytes()
+                flat = found.tobytes()
                 ends = np.concatenate(([0], np.cumsum(counts))) * width
                 rows = [flat[a:b] for a, b in zip(ends, ends[1:])]
                 ids, ties = batch.column(0).slice(first, len(texts)), np.array([zlib.crc32(r) for r in rows], "i8")

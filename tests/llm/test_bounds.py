@@ -65,6 +65,22 @@ def test_ids_are_the_library_s_for_every_kind_of_space_and_for_added_tokens():
             ids = ids[n:]
 
 
+def test_words_are_encoded_once_whatever_mark_follows_and_outlive_a_full_memory(monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer(BYTE_JSON))
+    encoder = token_files.LibraryEncoder(Path(tokenizer(BYTE_JSON)).read_text(encoding="utf-8"), END_ID)
+    asked, whole = [], encoder._whole
+    monkeypatch.setattr(encoder, "_whole", lambda texts: asked.extend(texts) or whole(texts))
+    monkeypatch.setattr(token_files, "CACHE_ENTRIES", 3)
+    texts = ["so stürmische nächte", "so stürmische. so nächte, so stürmische***", "so nächté; so stürmische! it's stürmische's 5%, a.b×. 2÷?", "so nächte", "so stürmische"]
+    for text in texts:
+        ids, counts = encoder([text.encode()])
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, END_ID] and counts.tolist() == [len(ids)]
+    assert "".join(asked).count(" stürmische") == 2  # alone, and once as the beginning of another cut
+    assert encoder([])[1].tolist() == [] and encoder([b"", b""])[0].tolist() == [END_ID, END_ID]
+
+
 def test_token_files_of_one_id_on_many_rows(spark, tmp_path):
     rows = [(7, f"text number {i} " * (i % 5)) for i in range(300)] + [(None, "x")] * 40 + [(1, "a <|endoftext|> b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
