@@ -47,6 +47,9 @@ OUTPUT = ["item_id", "store_id", "cat_id", "dept_id", "state_id", "date", "sales
 IDS = FEATURE_GROUPS["ids"]
 #: Fits that run at a time.
 WORKERS = 4
+#: The same for fits of one store: their stages are one or a few small tasks, so more of them fill the cores, and in
+#: fewer turns, each of which ends with idle cores.
+STORE_WORKERS = 32
 
 
 def default_features(drop_group: str | None = None) -> list[str]:
@@ -293,7 +296,7 @@ def store_forecasts(
     params: Mapping[str, float],
     rounds: int,
     grid: Sequence[int] = (),
-    workers: int = 2 * WORKERS,
+    workers: int = STORE_WORKERS,
 ) -> DataFrame:
     """Forecasts of one model per store: column `prediction`, or one for each tree count of `grid`.
 
@@ -323,7 +326,7 @@ def store_forecasts(
 
 
 def store_out_of_fold(
-    rows: DataFrame, folds: Sequence[Fold], names: Sequence[str], params: Mapping[str, float], grid: Sequence[int], workers: int = 2 * WORKERS
+    rows: DataFrame, folds: Sequence[Fold], names: Sequence[str], params: Mapping[str, float], grid: Sequence[int], workers: int = STORE_WORKERS
 ) -> DataFrame:
     """Per-store forecasts for every validation window at every tree count of the grid, marked with the fold."""
     parts = [

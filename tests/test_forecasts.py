@@ -377,3 +377,22 @@ def test_model_queries_take_the_settings(monkeypatch):
     assert seen["random_search"][0][3:] == (config.N_TRIALS, 3000) and config.N_TRIALS > 10
     assert seen["random_search"][1] == {"seeds": (1, 2, 3)}
     assert seen["early_stopped"][0][3:] == (config.GLOBAL_TREES, 3000, (1, 2, 3))
+
+
+def test_all_store_fits_of_a_chain_run_at_the_same_time(model_rows, monkeypatch):
+    from threading import Barrier
+    from types import SimpleNamespace
+
+    all_at_once = Barrier(25)
+
+    def fit(rows, *args, **kwargs):  # each waits until the fits of all stores have begun
+        all_at_once.wait(60)
+        n = rows.count()
+        return SimpleNamespace(staged=lambda target, counts, name: target.withColumns({name(c): F.lit(float(n)) for c in counts}))
+
+    many = [r.crossJoin(r.sparkSession.range(25).withColumnRenamed("id", "_s")).withColumn("store_id", F.format_string("s%02d", "_s")).drop("_s")
+            for r in (rows.where("store_id = 's1' AND item_id = 'i1'") for rows in model_rows)]
+    monkeypatch.setattr(boosting, "fit", fit)
+    made = models.store_forecasts(*many, NAMES, SMALL, 2)
+    each = many[0].count() // 25
+    assert each > 0 and made.count() == many[1].count() and {r.prediction for r in made.collect()} == {float(each)}
