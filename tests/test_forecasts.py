@@ -396,3 +396,59 @@ def test_all_store_fits_of_a_chain_run_at_the_same_time(model_rows, monkeypatch)
     made = models.store_forecasts(*many, NAMES, SMALL, 2)
     each = many[0].count() // 25
     assert each > 0 and made.count() == many[1].count() and {r.prediction for r in made.collect()} == {float(each)}
+
+
+def test_search_computes_sure_scores_side_by_side(spark, monkeypatch):
+    """Sure scores begin at the same time; the trials, and which of them are stopped, are those of one after another."""
+    import random
+    import statistics
+    from threading import Barrier
+    from types import SimpleNamespace
+
+    together, asked, gone = Barrier(2), [], []
+
+    def value(setting, fold):
+        return sum(float(v) for v in setting.values()) * (1 + fold * 0.37) % 7
+
+    class Trials:
+        def __init__(self, train, valid, *_):
+            self.fold = valid
+
+        def score(self, setting):
+            if len(asked) < 2:  # each waits until another one has begun
+                asked.append((self.fold, tuple(setting.values())))
+                together.wait(20)
+            else:
+                asked.append((self.fold, tuple(setting.values())))
+            return value(setting, self.fold), 3 + self.fold
+
+        def release(self):
+            gone.append(self.fold)
+
+    monkeypatch.setattr(models, "_TreeTrials", Trials)
+    monkeypatch.setattr(models, "split", lambda rows, fold: ("train", fold.folds))
+    folds = [SimpleNamespace(folds=k) for k in (1, 2, 3)]
+    found = models.random_search(spark.range(1), folds, NAMES, 12, 3, learners=("trees",), warm_up=4).collect()
+
+    generator, history, expected, computed = random.Random(42), [], [], []
+    for number in range(12):
+        setting = {k: models.GLOBAL_TREES[k] for k in models.TREE_SPACE} if number == 0 else models.draw(models.TREE_SPACE, generator)
+        running, state = [], "complete"
+        for k in (1, 2, 3):
+            computed.append((k, tuple(setting.values())))
+            running.append((sum(running[-1:]) * len(running) + value(setting, k)) / (len(running) + 1))
+            if len(history) >= 4 and running[-1] > statistics.median(h[k - 1] for h in history):
+                state = "stopped"
+                break
+        history += [running] if state == "complete" else []
+        expected.append((number, state, running[-1]))
+    assert [(r.number, r.state, r.wrmsse) for r in found] == expected
+    assert {r.state for r in found} == {"complete", "stopped"}
+    assert sorted(asked) == sorted(computed) and sorted(gone) == [1, 2, 3]
+
+
+def test_stored_references_give_the_same_score(model_rows):
+    train, valid = model_rows
+    made = valid.select(*models.OUTPUT, F.lit(2.0).alias("prediction"), F.lit("a").alias("model"))
+    plain = models.score_variants(train, made, "model").first()["wrmsse"]
+    assert plain > 0 and models.score_variants(train, made, "model", against=models.references(train)).first()["wrmsse"] == pytest.approx(plain, rel=1e-12)
