@@ -452,3 +452,26 @@ def test_stored_references_give_the_same_score(model_rows):
     made = valid.select(*models.OUTPUT, F.lit(2.0).alias("prediction"), F.lit("a").alias("model"))
     plain = models.score_variants(train, made, "model").first()["wrmsse"]
     assert plain > 0 and models.score_variants(train, made, "model", against=models.references(train)).first()["wrmsse"] == pytest.approx(plain, rel=1e-12)
+
+
+def test_store_fits_of_all_folds_run_at_the_same_time(model_rows, monkeypatch):
+    from threading import Barrier
+    from types import SimpleNamespace
+
+    train, _ = model_rows
+    folds = validation.folds_of(train, 3, 7)
+    windows = [validation.split(train, f) for f in folds]
+    of_each = [{r.store_id: r["count"] for r in part.groupBy("store_id").count().collect()} for part, _ in windows]
+    all_at_once = Barrier(sum(map(len, of_each)))
+
+    def fit(rows, *args, **kwargs):  # each waits until the fits of all folds have begun
+        all_at_once.wait(60)
+        n = rows.count()
+        return SimpleNamespace(staged=lambda target, counts, name: target.withColumns({name(c): F.lit(float(n)) for c in counts}))
+
+    monkeypatch.setattr(boosting, "fit", fit)
+    found = models.store_out_of_fold(train, folds, NAMES, SMALL, (1, 2)).collect()
+    assert len(found) == sum(valid.count() for _, valid in windows) > 0
+    assert {(r.fold, r.store_id, r.pred_1, r.pred_2) for r in found} == {
+        (f.folds, s, float(n), float(n)) for f, each in zip(folds, of_each) for s, n in each.items()
+    }
