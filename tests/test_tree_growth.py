@@ -76,3 +76,11 @@ def test_jobs_of_a_fit_do_not_grow_with_its_rounds(spark, vectors, per_task, mon
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
     assert jobs(20) <= jobs(5) + 5  # four jobs a tree before
+
+
+@pytest.mark.parametrize("per_task", [50_000, 300])
+def test_unknown_labels_are_an_error(vectors, per_task, monkeypatch):
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", per_task)
+    unknown = vectors.withColumn("label", F.when(F.col("label") > 1, F.col("label")))
+    with pytest.raises(Exception, match="Labels MUST NOT be Null or NaN"):
+        boosting.fit(unknown, WHOLE, 2)
